@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from relata.catalog import transform_queries
+# The transform queries define oracle pieces the others use, hence the order.
+from relata.catalog import transform_queries  # isort: skip
+from relata.catalog import quality_queries, serving_queries
 from relata.session import configure
 
-MODULES = (transform_queries,)
+MODULES = (transform_queries, quality_queries, serving_queries)
 
 
 def all_queries() -> dict:

@@ -110,7 +110,11 @@ def scan(
     for position, rule in enumerate(rules):
         name = f"_r{position}"
         if rule.kind in GROUP_KINDS:
-            reason = _missing(df, lambda: _group_rule(rule, rows))
+            # A filter may still reach columns a projection dropped, so the condition is selected too.
+            where = rule.options.get("where")
+            reason = _missing(df, lambda: where and df.select(F.expr(where))) or _missing(
+                df, lambda: _group_rule(rule, rows)
+            )
             if reason is None:
                 grouped.append(_group_rule(rule, rows))
                 continue

@@ -17,25 +17,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from relata.operators.cdc import OP, SEQ, as_base, last_changes, live_rows, merge_changes
+from relata.operators.cdc import as_base, last_changes, live_rows, merge_changes
 from relata.sinks.tables import Layers
+from relata.sources.changes import read_changes
 from relata.sources.files import child_names, remove_path
 
 # Fixed value: the table may lag its source by this many seconds.
 FRESHNESS_SECONDS = 900
 
 
-def change_schema(table: T.StructType) -> T.StructType:
-    return T.StructType([*table.fields, T.StructField(OP, T.StringType()), T.StructField(SEQ, T.LongType())])
-
-
-def read_changes(spark: SparkSession, path: str, table: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(change_schema(table))
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
-
-
 class ChangeTable:
     def __init__(self, spark: SparkSession, path: str, key: Sequence[str]) -> None:
         self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
