@@ -15,9 +15,13 @@ class Models:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._views: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
+        """A derived table; built once, since each build reads the files' footers."""
+        if name not in self._views:
+            self._views[name] = view(self.spark, self.sf_dir, name)
+        return self._views[name]
 
     def raw_tables(self) -> dict[str, DataFrame]:
         names = ("user_raw", "crm_sales", "crm_support", "crm_campaign_events", "crm_new_partner_leads")

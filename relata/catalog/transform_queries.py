@@ -496,13 +496,13 @@ query(
     "e7_email_left_join_hot_keys",
     oracle("select l.external_lead_id, l.lead_email, l.partner_name, u.user_id from stg_leads l left join stg_users u on u.email = l.lead_email", "stg_leads", "stg_users"),
 )(
-    # The same result with nearly every key taking the hot-key route.
+    # The same result with every repeated address taking the hot-key route.
     lambda m: joins.skewed_left_join(
         m.stg_leads().select("external_lead_id", "lead_email", "partner_name"),
         m.stg_users().select(F.col("email").alias("lead_email"), "user_id"),
         ["lead_email"],
         parts=4,
-        share=0.0,
+        share=joins.LEAST_SHARE,
         min_rows=2,
     )
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from relata.functions.text import col, lower_trimmed, trimmed
 
@@ -17,7 +17,7 @@ FLOAT_SHAPE = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|[nN][aA][nN]|[iI][nN][
 ISO_DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}\z"
 LOOSE_DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}\z"
 ISO_TIMESTAMP_SHAPE = (
-    r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d{3}(\d{3})?)?)?(Z|[+-]\d{2}:\d{2})?)?\z"
+    r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}(\.\d{3}(\d{3})?)?(Z|[+-]\d{2}:\d{2})?)?\z"
 )
 LOOSE_TIMESTAMP_SHAPE = (
     r"^\d{4}-\d{1,2}-\d{1,2}(T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?\s?(UTC|Z|[+-]\d{1,2}(:\d{2})?)?)?\z"
@@ -55,17 +55,18 @@ def contract_date(value: Column | str) -> Column:
 
 
 def contract_timestamp(value: Column | str) -> Column:
-    return _instant(col(value), ISO_TIMESTAMP_SHAPE)
+    with_seconds = F.regexp_replace(col(value), r"([ T]\d{2}:\d{2})(?=Z|[+-]|$)", "$1:00")
+    return _instant(with_seconds, ISO_TIMESTAMP_SHAPE)
 
 
 #: contract type -> (Spark type, cast of a text column)
 CONTRACT_CASTS = {
-    "STRING": ("string", lambda value: col(value)),
-    "INTEGER": ("bigint", contract_integer),
-    "FLOAT": ("double", contract_float),
-    "BOOL": ("boolean", contract_bool),
-    "DATE": ("date", contract_date),
-    "TIMESTAMP": ("timestamp", contract_timestamp),
+    "STRING": (T.StringType(), lambda value: col(value)),
+    "INTEGER": (T.LongType(), contract_integer),
+    "FLOAT": (T.DoubleType(), contract_float),
+    "BOOL": (T.BooleanType(), contract_bool),
+    "DATE": (T.DateType(), contract_date),
+    "TIMESTAMP": (T.TimestampType(), contract_timestamp),
 }
 
 

@@ -11,6 +11,8 @@ from relata.functions.text import is_blank, trimmed
 #: A key is hot when it holds at least this share of a side; so there are at most 1000 such keys.
 HOT_SHARE = 0.001
 HOT_MIN_ROWS = 10_000
+#: The smallest share accepted: it bounds the broadcast list of hot keys to 2000.
+LEAST_SHARE = 0.0005
 
 
 def known_keys(dimension: DataFrame, key: str) -> DataFrame:
@@ -69,6 +71,8 @@ def join_coverage(
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
     """Keys holding at least ``share`` of the rows, with their counts. At most ``1 / share`` rows."""
+    if share < LEAST_SHARE:
+        raise ValueError(f"share must be at least {LEAST_SHARE}, or the list of hot keys has no small bound")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = df.agg(F.count(F.lit(1)).alias("_total"))
     return counts.where(

@@ -84,7 +84,7 @@ def read_crm_csv(spark: SparkSession, prefix: str, contract: Contract, multi_lin
     if result is None:
         raw_map = T.MapType(T.StringType(), T.StringType())
         schema = T.StructType([T.StructField(n, T.StringType()) for n in contract.names])
-        schema.add(RAW_ROW, raw_map).add(FILE, "string").add(BLOCK, "bigint").add(ORDINAL, "bigint")
+        schema.add(RAW_ROW, raw_map).add(FILE, T.StringType()).add(BLOCK, T.LongType()).add(ORDINAL, T.LongType())
         return spark.createDataFrame([], schema)
     return result
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from fnmatch import fnmatch
+
+from pyspark.sql import DataFrame, SparkSession
 
 _FIRST_LINE_LIMIT = 1 << 20
 
@@ -56,15 +58,17 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Path, file name and size of files below ``path``; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(path)
-        .select(
-            F.col("path").alias("object_uri"),
-            F.substring_index("path", "/", -1).alias("file_name"),
-            F.col("length").alias("size_bytes"),
-        )
-    )
+    """URI, name and size of the files below ``path``; contents are not read.
+
+    Names and sizes come from the file system itself: a file scan would leave out empty files, which
+    the arrival gate has to see. Meant for the folder of one run, which holds a handful of files.
+    """
+    found = []
+    if exists(spark, path):
+        entries = file_system(spark, path).listFiles(_path(spark, path), True)
+        while entries.hasNext():
+            entry = entries.next()
+            name = entry.getPath().getName()
+            if fnmatch(name, pattern):
+                found.append((entry.getPath().toString(), name, entry.getLen()))
+    return spark.createDataFrame(found, "object_uri string, file_name string, size_bytes bigint")
