@@ -465,6 +465,10 @@ query("e5_orphan_events", _orphan_sql("crm_campaign_events", "f.event_id, f.user
     lambda m: joins.orphans(m.raw("crm_campaign_events").select("event_id", "user_id"), m.raw("user_raw"))
 )
 
+query("e5_measured_orphan_sales", _orphan_sql("crm_sales", "f.deal_id, f.customer_id, f.user_id"))(
+    lambda m: joins.measured_orphans(m.raw("crm_sales").select("deal_id", "customer_id", "user_id"), m.raw("user_raw"))
+)
+
 query(
     "e6_many_to_many_distinct",
     oracle(
@@ -488,7 +492,7 @@ query(
     lambda m: joins.skewed_left_join(
         m.stg_leads().select("external_lead_id", "lead_email", "partner_name"),
         m.stg_users().select(F.col("email").alias("lead_email"), "user_id"),
-        ["lead_email"],
+        "lead_email",
     )
 )
 
@@ -500,7 +504,7 @@ query(
     lambda m: joins.skewed_left_join(
         m.stg_leads().select("external_lead_id", "lead_email", "partner_name"),
         m.stg_users().select(F.col("email").alias("lead_email"), "user_id"),
-        ["lead_email"],
+        "lead_email",
         parts=4,
         share=joins.LEAST_SHARE,
         min_rows=2,

@@ -177,7 +177,7 @@ def partner_lead_matches(leads: DataFrame, users: DataFrame, as_of: Column) -> D
         F.col("user_id").alias("matched_user_id"),
         F.col("consent_email").alias("matched_user_consent_email"),
     ).where(F.col("lead_email").isNotNull())
-    return skewed_left_join(newest_leads(leads), people, ["lead_email"]).select(
+    return skewed_left_join(newest_leads(leads), people, "lead_email").select(
         "external_lead_id",
         "lead_email",
         "partner_name",

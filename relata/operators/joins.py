@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from relata.functions.text import is_blank, trimmed
+from relata.session import shared_folder
 
 #: A key is hot when it holds at least this share of a side; so there are at most 1000 such keys.
 HOT_SHARE = 0.001
 HOT_MIN_ROWS = 10_000
-#: The smallest share accepted: it bounds the broadcast list of hot keys to 2000.
+#: The smallest share accepted: it bounds the list of hot keys to 2000.
 LEAST_SHARE = 0.0005
+#: Up to this many missing keys (about 100 MB of ids) are broadcast to pick their rows.
+ORPHAN_KEY_LIMIT = 1_000_000
 
 
 def known_keys(dimension: DataFrame, key: str) -> DataFrame:
@@ -41,6 +44,32 @@ def orphan_count(fact: DataFrame, users: DataFrame, key: str = "user_id", dimens
     return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphan_rows"))
 
 
+def missing_keys(fact: DataFrame, users: DataFrame, key: str, dimension_key: str) -> DataFrame:
+    """The distinct keys of a fact table that the dimension lacks."""
+    return key_counts(fact, key).join(known_keys(users, dimension_key), "_key", "left_anti").select("_key")
+
+
+def measured_orphans(
+    fact: DataFrame,
+    users: DataFrame,
+    key: str = "user_id",
+    dimension_key: str = "user_id",
+    limit: int = ORPHAN_KEY_LIMIT,
+) -> DataFrame:
+    """The rows of ``orphans`` without shuffling the fact table, when few keys are missing.
+
+    The missing keys are found from key counts alone and checkpointed. Counted to be at most
+    ``limit``, they are broadcast and the fact rows are filtered where they lie; beyond that the
+    fact rows are shuffled as in ``orphans``.
+    """
+    shared_folder(fact.sparkSession)
+    missing = missing_keys(fact, users, key, dimension_key).checkpoint()
+    if missing.count() > limit:
+        return orphans(fact, users, key, dimension_key)
+    keyed = fact.where(~is_blank(key)).withColumn("_key", trimmed(key))
+    return keyed.join(F.broadcast(missing), "_key", "left_semi").drop("_key")
+
+
 def normalised_left_join(fact: DataFrame, users: DataFrame, key: str = "user_id", dimension_key: str = "user_id") -> DataFrame:
     """Every fact row with the trimmed id of its user, NULL where there is none."""
     matched = known_keys(users, dimension_key).withColumn("matched_user_id", F.col("_key"))
@@ -69,21 +98,28 @@ def join_coverage(
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """Keys holding at least ``share`` of the rows, with their counts. At most ``1 / share`` rows."""
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> list:
+    """Keys holding at least ``share`` of the rows: at most ``1 / share`` values.
+
+    Two passes over one column and no shuffle of it: a frequent-items sketch names the candidates,
+    whose number the share bounds, and an exact count keeps those that are hot.
+    """
     if share < LEAST_SHARE:
         raise ValueError(f"share must be at least {LEAST_SHARE}, or the list of hot keys has no small bound")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return counts.where(
-        (F.col("_rows") >= min_rows) & (F.col("_rows") >= total.select(F.col("_total") * share).scalar())
-    )
+    present = df.where(F.col(key).isNotNull()).select(key)
+    candidates = present.stat.freqItems([key], share).first()[0]
+    if not candidates:
+        return []
+    wanted = F.col(key).isin(list(candidates))
+    counts = present.groupBy(F.when(wanted, F.col(key)).alias(key)).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(row.n for row in counts)
+    return sorted(row[0] for row in counts if row[0] is not None and row.n >= max(min_rows, share * total))
 
 
 def skewed_left_join(
     left: DataFrame,
     right: DataFrame,
-    keys: Sequence[str],
+    key: str,
     parts: int = 64,
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
@@ -93,25 +129,23 @@ def skewed_left_join(
     Adaptive execution splits a hot left partition but cannot split the right side of a left join.
     So the right rows of a hot key are dealt into ``parts`` by their hash, and the left rows of that
     key visit each part. A hot key always has right rows, hence its empty visits can be dropped and
-    the result is that of the plain join. The hot-key list holds at most ``1 / share`` keys, which
-    is why broadcasting it is safe at any size of the inputs.
+    the result is that of the plain join. Without hot keys it is the plain join.
     """
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(right, keys, share, min_rows).select(*keys, F.lit(parts).alias("_parts")))
-    values = [name for name in right.columns if name not in keys]
-    dealt = right.join(hot, keys, "left").select(
-        *keys,
+    hot = hot_keys(right, key, share, min_rows)
+    if not hot:
+        return left.join(right, key, "left").select(*left.columns, *[name for name in right.columns if name != key])
+    is_hot = never_null(F.col(key).isin(hot))
+    values = [name for name in right.columns if name != key]
+    dealt = right.select(
+        key,
         *values,
-        F.when(F.col("_parts").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*[F.col(name) for name in values]), F.lit(parts)).cast("int"))
-        .alias("_part"),
+        F.when(is_hot, F.pmod(F.xxhash64(*values), F.lit(parts)).cast("int")).otherwise(F.lit(0)).alias("_part"),
         F.lit(True).alias("_met"),
     )
-    visiting = left.join(hot, keys, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
-    )
-    joined = visiting.join(dealt, [*keys, "_part"], "left")
-    return joined.where(F.col("_met") | F.col("_parts").isNull()).select(*left.columns, *values)
+    visits = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    visiting = left.select("*", is_hot.alias("_hot"), F.explode(visits).alias("_part"))
+    joined = visiting.join(dealt, [key, "_part"], "left")
+    return joined.where(F.col("_met") | ~F.col("_hot")).select(*left.columns, *values)
 
 
 def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

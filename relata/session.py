@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only where that setting is absent, as in tests on one machine, a local folder is made and set.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(named)

@@ -23,14 +23,40 @@ def sides(spark):
 def test_skewed_left_join_equals_a_plain_one(sides, rows):
     left, right = sides
     plain = left.join(right, "k", "left").select("l", "k", "r", "maybe")
-    split = joins.skewed_left_join(left, right, ["k"], parts=8, min_rows=5).select("l", "k", "r", "maybe")
+    split = joins.skewed_left_join(left, right, "k", parts=8, min_rows=5).select("l", "k", "r", "maybe")
     assert rows(split) == rows(plain)
-    assert joins.hot_keys(right, ["k"], min_rows=5).count() > 1
+    assert "hot" in joins.hot_keys(right, "k", min_rows=5) and len(joins.hot_keys(right, "k", min_rows=5)) > 1
 
 
 def test_hot_list_has_a_bound(sides):
     with pytest.raises(ValueError):
-        joins.hot_keys(sides[1], ["k"], share=0.0)
+        joins.hot_keys(sides[1], "k", share=0.0)
+
+
+def test_without_hot_keys_the_join_is_plain(sides, rows):
+    left, right = sides
+    joined = joins.skewed_left_join(left, right, "k")
+    assert "Generate" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined.select("l", "k", "r")) == rows(left.join(right, "k", "left").select("l", "k", "r"))
+
+
+def test_a_third_in_one_key_is_found(spark):
+    df = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    assert joins.hot_keys(df, "k") == ["hot"]
+
+
+def test_measured_orphans_equal_plain_ones_on_both_sides_of_the_limit(spark, rows):
+    fact = spark.range(500).select(
+        F.when(F.col("id") % 3 == 0, F.lit("gone")).otherwise(F.concat(F.lit(" u"), (F.col("id") % 60).cast("string"))).alias("user_id"),
+        F.col("id"),
+    )
+    users = spark.range(40).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_id"))
+    plain = rows(joins.orphans(fact, users))
+    assert len(plain) > 167
+    assert rows(joins.measured_orphans(fact, users)) == plain
+    assert rows(joins.measured_orphans(fact, users, limit=1)) == plain
 
 
 def test_hot_key_is_dealt_to_many_parts(spark):
