@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from relata.functions.records import instant
 
 AS_OF = datetime(2024, 2, 1)
 RUN_DATE = "2024-02-01"
@@ -17,7 +19,7 @@ SQL_RUN_DATE = "date '2024-02-01'"
 
 
 def as_of() -> Column:
-    return F.lit(AS_OF)
+    return instant(AS_OF)
 
 
 _USER_COLUMNS = """

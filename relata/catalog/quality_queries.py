@@ -10,7 +10,9 @@ from relata.catalog.adapters import AS_OF, RUN_DATE, as_of
 from relata.catalog.models import Models
 from relata.catalog.oracles import AMOUNT, PIECES, oracle
 from relata.catalog.portable import portable
+from relata.functions.records import instant
 from relata.operators import audit, checks, quality, scans
+from relata.operators.aggregates import row_counts
 from relata.sources.rules import ScanRule, built_in_rules
 
 QUERIES: dict = {}
@@ -184,8 +186,6 @@ query(
 
 
 def _row_counts(m: Models) -> DataFrame:
-    from relata.operators.aggregates import row_counts
-
     return row_counts({f"raw.{name}": table for name, table in m.raw_tables().items()})
 
 
@@ -417,7 +417,7 @@ query(
         "select count(*) filter (where run_date = date '2024-01-10' and status = 'FAIL') = 0 as passed, count(*) filter (where run_date = date '2024-01-10' and status = 'FAIL') as failed_checks from check_results",
         "check_results",
     ),
-)(lambda m: checks.no_fail_verdict(m.raw("check_results"), F.lit(AS_OF.replace(month=1, day=10))))
+)(lambda m: checks.no_fail_verdict(m.raw("check_results"), instant(AS_OF.replace(month=1, day=10))))
 query("l30_assert_unique_user", oracle("select user_id, count(*) as duplicate_count from versions group by user_id having count(*) > 1", "versions"))(
     lambda m: checks.assert_unique_user((lambda u: u.toDF(*[c.lower() for c in u.columns]))(m.raw("user_versions")))
 )

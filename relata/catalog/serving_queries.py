@@ -11,6 +11,7 @@ from relata.catalog.adapters import AS_OF, RUN_DATE, as_of
 from relata.catalog.models import Models
 from relata.catalog.oracles import PIECES, doubles, oracle, texts
 from relata.catalog.portable import portable
+from relata.functions.records import utc
 from relata.operators import activation, cdc, segments, validation
 from relata.operators.aggregates import row_counts
 from relata.operators.audience import selected_segments
@@ -243,7 +244,7 @@ def _audit_rows(m: Models) -> DataFrame:
     store.ensure("audit", "push_runs", schema)
     count = m.raw("crm_sales").count()
     for status in ("FAILED", "SUCCESS"):
-        row = (AS_OF.date(), "CAMP_MOCK_1", AS_OF, AS_OF, status, count, False, None)
+        row = (AS_OF.date(), "CAMP_MOCK_1", utc(AS_OF), utc(AS_OF), status, count, False, None)
         store.append_row(row, "audit", "push_runs", schema)
     return store.read("audit", "push_runs")
 

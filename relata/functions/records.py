@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -11,6 +12,16 @@ from relata.functions.text import col, filled
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
+def utc(moment: datetime) -> datetime:
+    """The moment with a zone; one without is meant as UTC, wherever the driver runs."""
+    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
+def instant(moment: datetime) -> Column:
+    """A literal instant that depends neither on the driver's nor on the session's zone."""
+    return F.lit(utc(moment).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")).cast("timestamp")
+
+
 def utc_text(value: Column | str) -> Column:
     """An instant as ``yyyy-MM-ddTHH:mm:ss[.ffffff]Z`` with trailing zeros of the fraction dropped."""
     text = F.date_format(col(value), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

@@ -9,11 +9,12 @@ the scan: it is reported as not passed with the reason.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from relata.functions.records import instant, utc
 from relata.operators.joins import never_null
 from relata.operators.quality import QualityGateError, _union
 from relata.operators.staging import cast_to
@@ -41,7 +42,8 @@ def _missing(df: DataFrame, build) -> str | None:
 
 
 def _bind(expression: str, as_of: datetime) -> str:
-    return expression.replace(":as_of", f"timestamp '{as_of:%Y-%m-%d %H:%M:%S}'")
+    moment = utc(as_of).astimezone(timezone.utc)
+    return expression.replace(":as_of", f"timestamp '{moment:%Y-%m-%dT%H:%M:%S}Z'")
 
 
 def _row_pass(rule: ScanRule, df: DataFrame, as_of: datetime) -> Column:
@@ -134,7 +136,7 @@ def scan(
     parts = list(grouped)
     if outcomes:
         parts.insert(0, rows.agg(*counted).select(F.inline(F.array(*outcomes))))
-    return _union(parts).select(F.lit(scan_id).alias("scan_id"), "*", F.lit(as_of).alias("job_start_time"))
+    return _union(parts).select(F.lit(scan_id).alias("scan_id"), "*", instant(as_of).alias("job_start_time"))
 
 
 def nested_results(results: DataFrame) -> DataFrame:
@@ -152,7 +154,7 @@ def nested_results(results: DataFrame) -> DataFrame:
 
 def gate_verdict(results: DataFrame, as_of: datetime, hours: int = GATE_HOURS, honour_action: bool = False) -> DataFrame:
     """One row: failed rule rows of the last ``hours``; with ``honour_action`` only blocking rules count."""
-    failed = ~F.col("rule_passed") & (F.col("job_start_time") >= F.lit(as_of) - F.expr(f"interval {int(hours)} hours"))
+    failed = ~F.col("rule_passed") & (F.col("job_start_time") >= instant(as_of) - F.expr(f"interval {int(hours)} hours"))
     if honour_action:
         failed = failed & (F.col("failure_action") == BLOCK_DOWNSTREAM)
     return results.agg(F.count_if(failed).alias("failed_count")).select(

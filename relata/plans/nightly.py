@@ -15,6 +15,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from relata.functions.records import instant, utc
 from relata.operators import activation, audience, checks, curated, quality, scans, segments, staging
 from relata.operators.aggregates import row_counts
 from relata.sinks.tables import Layers
@@ -33,7 +34,7 @@ SCAN_SCHEMA = (
 
 def governed_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetime, fit: bool = True) -> DataFrame:
     """Staging to audience; every layer is materialised once and read back by the next."""
-    now = F.lit(as_of)
+    now = instant(as_of)
     users = layers.replace(staging.stg_users(raw["user_raw"]), "staging", "stg_oracle_users")
     sales = layers.replace(staging.stg_crm_sales(raw["crm_sales"]), "staging", "stg_crm_sales")
     support = layers.replace(staging.stg_crm_support(raw["crm_support"]), "staging", "stg_crm_support")
@@ -81,7 +82,7 @@ def governed_quality(layers: Layers, as_of: datetime, honour_action: bool = Fals
 def classic_quality(layers: Layers, raw: Mapping[str, DataFrame], run_date: str, as_of: datetime) -> DataFrame:
     """Evidence first, then the report, then the gate: evidence outlives a failed gate."""
     quality.fail_if_empty(row_counts({f"raw.{name}": table for name, table in raw.items()}))
-    evidence = quality.rejected_records(raw, run_date, F.lit(as_of), measured=True)
+    evidence = quality.rejected_records(raw, run_date, instant(as_of), measured=True)
     layers.ensure("raw", "crm_rejected_records", REJECTED_SCHEMA)
     key = {"run_date": run_date, "dag_id": "nightly_crm_pipeline", "task_id": "validate_data_quality"}
     layers.replace_slice(evidence, "raw", "crm_rejected_records", key)
@@ -91,7 +92,7 @@ def classic_quality(layers: Layers, raw: Mapping[str, DataFrame], run_date: str,
 
 
 def classic_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
-    now = F.lit(as_of)
+    now = instant(as_of)
     features = layers.replace(
         curated.user_features(raw["user_raw"], raw["crm_sales"], raw["crm_support"], raw["crm_campaign_events"], now),
         "mart",
@@ -103,7 +104,7 @@ def classic_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetime
 
 
 def lean_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
-    now = F.lit(as_of)
+    now = instant(as_of)
     sales = layers.replace(staging.sales_clean(raw["crm_sales"]), "staging", "crm_sales_clean")
     support = layers.replace(staging.support_clean(raw["crm_support"]), "staging", "crm_support_clean")
     layers.replace(staging.campaign_clean(raw["crm_campaign_events"]), "staging", "crm_campaign_events_clean")
@@ -114,7 +115,7 @@ def lean_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetime) -
 
 def lean_quality(layers: Layers, as_of: datetime, execution_id: str | None = None) -> None:
     """Replace today's check rows, then assert that none failed."""
-    now, run_date = F.lit(as_of), as_of.date()
+    now, run_date = instant(as_of), as_of.date()
     execution = execution_id or str(uuid.uuid4())
     members = layers.current("mart", "salesforce_campaign_audience")
     results = checks.check_row_count(members, now, execution).unionByName(checks.check_duplicates(members, now, execution))
@@ -143,12 +144,12 @@ def activate(
     ``directory`` holds ``contacts``, ``leads`` (``id``, ``email``) and ``members`` (``campaign_id``,
     ``id_field``, ``member_id``). Payloads are written as files; sending them is the caller's.
     """
-    schema, now = activation.PUSH_RUN_SCHEMA, F.lit(as_of)
+    schema, now, moment = activation.PUSH_RUN_SCHEMA, instant(as_of), utc(as_of)
     layers.ensure("audit", "salesforce_push_runs", schema)
     day = datetime.strptime(run_date, "%Y-%m-%d").date()
 
     def record(status: str, count: int, message: str | None = None) -> str:
-        row = (day, campaign_id, as_of, as_of, status, count, dry_run, message)
+        row = (day, campaign_id, moment, moment, status, count, dry_run, message)
         layers.append_row(row, "audit", "salesforce_push_runs", schema)
         return status
 

@@ -17,10 +17,22 @@ REQUIRED = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators need: UTC days, ANSI casts, adaptive plans."""
+#: Bytes of input one shuffle partition starts with; adaptive execution merges the smaller ones.
+PARTITION_BYTES = 128 << 20
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the settings the operators need: UTC days, ANSI casts, adaptive plans.
+
+    Given the size of the largest input, the number of shuffle partitions starts high enough for one
+    to fit in an executor's memory; without it the session's own number stays.
+    """
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    if input_bytes:
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(usual, -(-input_bytes // PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 

@@ -21,10 +21,18 @@ from relata.sources.files import child_names, exists, move_path, remove_path
 
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+# Characters Spark escapes in partition folder names, besides control characters.
+ESCAPED_CHARACTERS = "\"#%'*/:=?\\\x7f{[]^"
+
 # Days each kind of data is kept.
 RETENTION_DAYS = {"raw": 730, "staging": 730, "archive": 2555, "rejected": 2555, "manifest": 2555}
 
 
+def escaped(value: str) -> str:
+    """A partition value the way Spark spells it in a folder name."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED_CHARACTERS or ord(c) < 32 else c for c in value)
+
+
 class SliceError(RuntimeError):
     """A slice could not be moved safely."""
 
@@ -117,7 +125,9 @@ class Layers:
         self.append(self.spark.createDataFrame([row], schema).coalesce(1), layer, name)
 
     def slice_path(self, layer: str, name: str, values: Mapping[str, object]) -> str:
-        parts = [f"{column}={DEFAULT_PARTITION if value is None else value}" for column, value in values.items()]
+        parts = [
+            f"{column}={DEFAULT_PARTITION if value is None else escaped(str(value))}" for column, value in values.items()
+        ]
         return "/".join([self.path(layer, name), *parts])
 
     def replace_slice(

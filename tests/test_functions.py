@@ -4,6 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from relata.functions import casting, records, text
@@ -110,3 +111,30 @@ def test_fallback_key(spark):
     df = spark.createDataFrame([("d", "c"), (" ", "c"), (None, "")], "deal string, customer string")
     column = records.fallback_key(("deal", "customer"), F.lit("hash"))
     assert [row[0] for row in df.select(column).collect()] == ["d", "c", "hash"]
+
+
+def test_instants_do_not_depend_on_the_drivers_zone(spark, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "Asia/Taipei")
+    time.tzset()
+    try:
+        found = spark.range(1).select(records.utc_text(records.instant(datetime(2024, 2, 1))).alias("t")).first().t
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+    assert found == "2024-02-01T00:00:00Z"
+
+
+def _python_integer(value):
+    try:
+        number = None if "_" in value else int(value)
+    except ValueError:
+        return None
+    return number if number is not None and -(2**63) <= number < 2**63 else None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("0123456789+-. _ex\t", max_size=22), min_size=40, max_size=80))
+def test_contract_integer_reads_what_python_reads(spark, inputs):
+    assert values(spark, inputs, casting.contract_integer("x")) == [_python_integer(v) for v in inputs]

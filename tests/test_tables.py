@@ -49,6 +49,14 @@ def test_replace_slice_may_read_the_slice(spark, layers):
     assert [row.k for row in layers.read("audit", "t").collect()] == ["a"]
 
 
+def test_slice_values_are_escaped_as_spark_does(spark, layers):
+    name = "a/b=c: 100%?"
+    df = frame(spark, (name, 1, D1), ("plain", 2, D1))
+    layers.append(df, "audit", "t", ("k",))
+    layers.replace_slice(df.withColumn("n", F.lit(7)), "audit", "t", {"k": name})
+    assert sorted((row.k, row.n) for row in layers.read("audit", "t").collect()) == [(name, 7), ("plain", 2)]
+
+
 def test_declared_table_keeps_its_types(spark, layers):
     schema = "run_date date, name string, n bigint"
     layers.ensure("audit", "runs", schema)
