@@ -39,9 +39,13 @@ SELECTED_SEGMENTS = (
 
 
 def selected_segments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(SELECTED_SEGMENTS), "segment_id bigint, campaign_code string, campaign_name string, audience_reason string"
-    )
+    """The built-in selection as a constant relation."""
+    names = ("campaign_code", "campaign_name", "audience_reason")
+    rows = [
+        F.struct(F.lit(number).cast("bigint").alias("segment_id"), *[F.lit(t).alias(n) for n, t in zip(names, texts)])
+        for number, *texts in SELECTED_SEGMENTS
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def fallback_segment() -> Column:
