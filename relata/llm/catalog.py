@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relata.llm import bpe, simhash
+from relata.llm import bpe, line_dedup, simhash
 from relata.llm.frames import table
 
 
@@ -21,6 +21,11 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the line runs that occur earlier."""
+    return line_dedup.remove_repeats(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents and what they decode to, as digests."""
     path = tokenizer_file()
@@ -29,6 +34,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op5_simhash": op5_simhash,
+    "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
 }
 

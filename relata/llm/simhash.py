@@ -181,5 +181,5 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """The rows of ``docs`` that stay: of each component the one with the least key, once if that key repeats."""
     heads = near_duplicates(docs, key, text).where(F.col("component_id").eqNullSafe(F.col(key))).select(key).distinct()
     heads = stored(heads.select(F.col(key).alias("_head")), "kept-ids")
-    kept = docs.join(heads, F.col(key).eqNullSafe(F.col("_head")), "left_semi")
+    kept = docs.join(heads, docs[key].eqNullSafe(heads["_head"]), "left_semi")
     return kept.dropDuplicates([key])
