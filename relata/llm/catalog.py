@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relata.llm import bpe, line_dedup, simhash
+from relata.llm import bpe, decontaminate, line_dedup, simhash
 from relata.llm.frames import table
 
 
@@ -16,6 +16,11 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_containment(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents that hold a benchmark item, with the item."""
+    return decontaminate.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -33,9 +38,26 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_containment": op2_containment,
     "op5_simhash": op5_simhash,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_containment": """
+with texts as (
+  select 'd' side, doc_id id, text from documents union all select 'i', item_id, text from benchmark
+), words as (
+  select side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z0-9\\x{80}-\\x{10FFFF}]+') w from texts
+), shingles as (
+  select distinct side, id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s
+  from words where len(w) > 0
+), items as (select id, s, count(*) over (partition by id) n from shingles where side = 'i')
+select d.id doc_id, i.id item_id, count(*) n_shared, any_value(i.n) n_shingles, count(*) / any_value(i.n) containment
+from shingles d join items i using (s) where d.side = 'd'
+group by d.id, i.id having count(*) >= ceil(any_value(i.n) * 4 / 5)
+""",
+}
