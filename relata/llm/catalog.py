@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relata.llm import bpe, decontaminate, line_dedup, simhash
+import corpus_pipeline
+from relata.llm import bpe, decontaminate, line_dedup, nbsvm, simhash
+from relata.llm.catalog_files import tokenizer_file
 from relata.llm.frames import table
 
 
-def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
-    """Where the public vocabulary lies; another path may be given to the operators."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op2_containment(spark: SparkSession, folder: str) -> DataFrame:
     """All documents that hold a benchmark item, with the item."""
     return decontaminate.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -26,6 +21,14 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_nbsvm(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents, learnt from the labels that are not held out."""
+    docs = table(spark, folder, "documents")
+    scored = nbsvm.score(docs, nbsvm.train(docs, table(spark, folder, "labels")))
+    predicted = (F.col("score") >= nbsvm.THRESHOLD).cast("int")
+    return scored.select("doc_id", nbsvm.held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the line runs that occur earlier."""
     return line_dedup.remove_repeats(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_removed")
@@ -37,9 +40,16 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path, with_digests=True)
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents through the stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op2_containment": op2_containment,
     "op5_simhash": op5_simhash,
+    "op7_nbsvm": op7_nbsvm,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
 }
