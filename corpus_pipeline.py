@@ -7,6 +7,7 @@ Parquet in the shared folder and read again as the next stage's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from relata.llm import bpe, decontaminate, line_dedup, nbsvm, simhash
 from relata.llm.catalog_files import tokenizer_file
@@ -21,7 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the line runs that occur earlier; one of which nothing is left goes."""
     found = line_dedup.remove_repeats(docs)
-    return found.where("n_removed = 0 or trim(text) != ''").select(*docs.columns)
+    left = F.btrim("text", F.lit(line_dedup.SPACE)) != ""
+    return found.where((F.col("n_removed") == 0) | left).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

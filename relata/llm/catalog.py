@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relata.llm import bpe, decontaminate, line_dedup, nbsvm, simhash
+from relata.llm import bpe, decontaminate, line_dedup, nbsvm, reply_trees, simhash
 from relata.llm.catalog_files import tokenizer_file
-from relata.llm.frames import table
+from relata.llm.frames import stored, table
 
 
 def op2_containment(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,6 +29,15 @@ def op7_nbsvm(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", nbsvm.held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op8_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings, formatted and read back."""
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    rows = given.unionByName(spark.createDataFrame(tricky, "conv_id long, turn long, role string, text string"))
+    written = stored(reply_trees.conversations(reply_trees.branches(reply_trees.chain(rows))), "conversations")
+    return reply_trees.digests(written, "tree").withColumnRenamed("tree", "conv_id")
+
+
 def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the line runs that occur earlier."""
     return line_dedup.remove_repeats(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_removed")
@@ -50,6 +59,7 @@ QUERIES = {
     "op2_containment": op2_containment,
     "op5_simhash": op5_simhash,
     "op7_nbsvm": op7_nbsvm,
+    "op8_reply_trees": op8_reply_trees,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
 }
@@ -69,5 +79,18 @@ with texts as (
 select d.id doc_id, i.id item_id, count(*) n_shared, any_value(i.n) n_shingles, count(*) / any_value(i.n) containment
 from shingles d join items i using (s) where d.side = 'd'
 group by d.id, i.id having count(*) >= ceil(any_value(i.n) * 4 / 5)
+""",
+    "op8_reply_trees": """
+with rows as (
+  select conv_id, turn, coalesce(role, '') as who, coalesce(text, '') as said from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(who || chr(10) || said || chr(10), '' order by turn nulls first, who, said)) as turns_sha256,
+  sum(case when who = 'assistant' then length(said) else 0 end)::bigint as loss_chars,
+  sha256(coalesce(string_agg(said, '' order by turn nulls first, who, said) filter (who = 'assistant'), '')) as loss_sha256,
+  sum(length(replace(replace(replace(who || said, '&', '&amp;'), '<', '&lt;'), '[', '&lb;')) + length('<s>[INST][/INST]</s>'))::bigint
+    as formatted_chars
+from rows group by conv_id
 """,
 }

@@ -25,7 +25,7 @@ def test_run(spark):
     docs = sorted((r.doc_id, r.text) for r in frame.collect())
     scores = model.scores(nbsvm.indicators(pa.array([text for _, text in docs])))
     docs = [row for row, score in zip(docs, scores, strict=True) if score >= nbsvm.THRESHOLD]
-    docs = [(key, text) for (key, _), (text, _, gone) in zip(docs, plain_dedup(docs), strict=True) if not gone or text.strip(" ")]
+    docs = [(key, text) for (key, _), (text, _, gone) in zip(docs, plain_dedup(docs), strict=True) if not gone or text.strip(" \t\n\x0b\x0c\r")]
     groups = plain_groups([key for key, _ in docs], [plain_print(text) for _, text in docs])
     docs = [row for row, head in zip(docs, groups, strict=True) if row[0] == head]
     leaked = {key for key, *_ in plain_search(docs, items)}
