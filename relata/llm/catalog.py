@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relata.llm import bpe, decontaminate, line_dedup, nbsvm, reply_trees, simhash
+from relata.llm import bpe, decontaminate, line_dedup, line_labels, nbsvm, reply_trees, simhash, url_filter
 from relata.llm.catalog_files import tokenizer_file
 from relata.llm.frames import stored, table
 
@@ -16,6 +16,21 @@ def op2_containment(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_line_field(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality rules on all documents: counts, and the share of words in lines that the field marks as content."""
+    docs = table(spark, folder, "documents")
+    return line_labels.judge(docs, line_labels.train(docs, table(spark, folder, "labels")))
+
+
+#: The rules of the query: host and path to verdict.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op4_url_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all pages by rules and by the language models of the URLs that these decide."""
+    return url_filter.verdicts(table(spark, folder, "pages"), URL_RULES)
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -57,6 +72,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "pipeline": pipeline,
     "op2_containment": op2_containment,
+    "op3_line_field": op3_line_field,
+    "op4_url_ratio": op4_url_ratio,
     "op5_simhash": op5_simhash,
     "op7_nbsvm": op7_nbsvm,
     "op8_reply_trees": op8_reply_trees,

@@ -18,12 +18,18 @@ def _classes(kept: bytes, fold: bool) -> np.ndarray:
     found = np.zeros(256, np.uint8)
     for byte in kept:
         found[byte] = byte + 32 if fold and 65 <= byte <= 90 else byte
+    if 0 in kept:
+        # The null character takes the class of the blank, which is none of the kept bytes.
+        found[0] = 32
     return found
 
 
 #: Byte classes: 0 separates words, A-Z become a-z. Letters and digits with everything beyond ASCII, or all but white space.
 ALNUM = _classes(bytes([*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]), True)
-VISIBLE = _classes(bytes(byte for byte in range(1, 256) if byte not in b" \t\n\x0b\x0c\r"), True)
+VISIBLE = _classes(bytes(byte for byte in range(256) if byte not in b" \t\n\x0b\x0c\r"), True)
+#: The same with case, and every byte as it is (a null character hashes by its place).
+EXACT = _classes(bytes(byte for byte in range(256) if byte not in b" \t\n\x0b\x0c\r"), False)
+ALL = np.arange(256, dtype=np.uint8)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
