@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relata.llm import bpe, decontaminate, line_dedup, line_labels, nbsvm, reply_trees, simhash, url_filter
+from relata.llm import bpe, decontaminate, line_dedup, line_labels, nbsvm, pii, reply_trees, simhash, url_filter
 from relata.llm.catalog_files import tokenizer_file
 from relata.llm.frames import stored, table
 
 
+def op1_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents: pattern spans, and what the skip-chain field adds."""
+    docs = table(spark, folder, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 def op2_containment(spark: SparkSession, folder: str) -> DataFrame:
     """All documents that hold a benchmark item, with the item."""
     return decontaminate.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -71,6 +77,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": pipeline,
+    "op1_skip_chain": op1_skip_chain,
     "op2_containment": op2_containment,
     "op3_line_field": op3_line_field,
     "op4_url_ratio": op4_url_ratio,
