@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relata.llm import bpe, decontaminate, line_dedup, line_labels, nbsvm, pii, reply_trees, simhash, url_filter
+from relata.llm import bpe, decontaminate, html_text, line_dedup, line_labels, nbsvm, pii, reply_trees, simhash, url_filter
 from relata.llm.catalog_files import tokenizer_file
 from relata.llm.frames import stored, table
 
@@ -42,6 +42,12 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_boosted_dom(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of all pages."""
+    pages = table(spark, folder, "pages")
+    return html_text.extract(pages, html_text.train(pages))
+
+
 def op7_nbsvm(spark: SparkSession, folder: str) -> DataFrame:
     """Quality scores of all documents, learnt from the labels that are not held out."""
     docs = table(spark, folder, "documents")
@@ -82,6 +88,7 @@ QUERIES = {
     "op3_line_field": op3_line_field,
     "op4_url_ratio": op4_url_ratio,
     "op5_simhash": op5_simhash,
+    "op6_boosted_dom": op6_boosted_dom,
     "op7_nbsvm": op7_nbsvm,
     "op8_reply_trees": op8_reply_trees,
     "op9_winnowing": op9_winnowing,
