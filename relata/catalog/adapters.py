@@ -23,7 +23,7 @@ def as_of() -> Column:
 
 
 _USER_COLUMNS = """
-concat('U', lpad(cast(c_custkey as string), 6, '0')) as USER_ID
+concat('U', cast(c_custkey as string)) as USER_ID
 case when c_custkey % 89 = 7 then null when c_custkey % 97 = 7 then 'not-an-email' else concat(' User', cast(c_custkey - (case when c_custkey % 50 = 49 then 1 else 0 end) as string), '@Example.com ') end as EMAIL
 concat('First', cast(c_custkey as string)) as FIRST_NAME
 concat('Last', cast(c_custkey as string)) as LAST_NAME
@@ -41,7 +41,7 @@ cast(date '2023-12-01' + cast(c_custkey % 30 as int) as timestamp) as UPDATED_AT
 
 _SALES_COLUMNS = """
 concat('C', cast(o_custkey as string)) as customer_id
-case when o_orderkey % 503 = 3 then null when o_orderkey % 499 = 3 then '  ' when o_orderkey % 491 = 3 then 'U999999' else concat('U', lpad(cast(o_custkey as string), 6, '0')) end as user_id
+case when o_orderkey % 503 = 3 then null when o_orderkey % 499 = 3 then '  ' when o_orderkey % 491 = 3 then 'X999999' else concat('U', cast(o_custkey as string)) end as user_id
 case when o_orderkey % 487 = 3 then null else concat('D', cast(o_orderkey - (case when o_orderkey % 400 = 1 then 1 else 0 end) as string)) end as deal_id
 case o_orderstatus when 'F' then ' Won ' when 'O' then 'Lost' else 'closed_won' end as deal_stage
 case when o_orderkey % 307 = 3 then 'n/a' when o_orderkey % 311 = 3 then '-12.50' else cast(cast(o_totalprice as decimal(18,2)) as string) end as deal_amount
@@ -52,7 +52,7 @@ o_orderpriority as owner_region
 
 _SUPPORT_COLUMNS = """
 case when l_partkey % 293 = 3 then null else concat('T', cast(l_orderkey as string), '-', cast(l_linenumber as string)) end as ticket_id
-case when l_partkey % 283 = 3 then null when l_partkey % 281 = 3 then 'U999998' else concat('U', lpad(cast(o_custkey as string), 6, '0')) end as user_id
+case when l_partkey % 283 = 3 then null when l_partkey % 281 = 3 then 'X999998' else concat('U', cast(o_custkey as string)) end as user_id
 case l_linenumber % 3 when 0 then ' HIGH' when 1 then 'Low' else 'medium' end as priority
 case when l_suppkey % 11 = 0 then null when l_linestatus = 'O' then 'Open' else ' Closed ' end as status
 case when l_tax > 0.04 then 'Billing' else 'Delivery' end as category
@@ -61,7 +61,7 @@ case when cast(l_quantity as int) % 8 = 7 then null when l_partkey % 101 = 3 the
 
 _EVENT_COLUMNS = """
 case when event_id % 479 = 3 then null else concat('E', cast(event_id as string)) end as event_id
-case when event_id % 467 = 3 then null when event_id % 463 = 3 then 'U999997' else concat('U', lpad(cast(user_id as string), 6, '0')) end as user_id
+case when event_id % 467 = 3 then null when event_id % 463 = 3 then 'X999997' else concat('U', cast(user_id as string)) end as user_id
 concat('CMP', cast(event_id % 5 as string)) as campaign_id
 case when event_type = 'error' then null when event_type = 'view' then ' ' when event_id % 2 = 0 then ' Email' else 'SMS ' end as channel
 case event_type when 'click' then ' Click' when 'view' then 'Opened' else event_type end as event_type
@@ -84,7 +84,7 @@ def _lines(block: str) -> list[str]:
 
 
 _USERS_FROM = "customer join nation on c_nationkey = n_nationkey"
-_SUPPORT_FROM = "(select * from lineitem where l_returnflag = 'R') l join orders on l_orderkey = o_orderkey"
+_SUPPORT_FROM = "lineitem join orders on l_orderkey = o_orderkey"
 
 #: name -> (source text, columns). Sources name the given tables.
 _BASE = {
@@ -109,7 +109,7 @@ def _metadata(key: str, source_type: str) -> list[str]:
 # Text-typed rows as a CSV reader hands them over, with one bad value per type planted.
 _TEXT_SALES = """
 concat('C', cast(o_custkey as string)) as customer_id
-case when o_orderkey % 503 = 3 then '' else concat('U', lpad(cast(o_custkey as string), 6, '0')) end as user_id
+case when o_orderkey % 503 = 3 then '' else concat('U', cast(o_custkey as string)) end as user_id
 case when o_orderkey % 487 = 3 then null else concat('D', cast(o_orderkey as string)) end as deal_id
 case o_orderstatus when 'F' then ' Won, "really" ' else 'Lost' end as deal_stage
 case when o_orderkey % 307 = 3 then 'n/a' when o_orderkey % 311 = 3 then ' -12.5 ' when o_orderkey % 313 = 3 then '1_000' when o_orderkey % 317 = 3 then '' else cast(cast(o_totalprice as decimal(18,2)) as string) end as deal_amount
@@ -145,11 +145,8 @@ _as_is = _lines(_USER_COLUMNS)
 
 
 def _shifted(columns: list[str]) -> list[str]:
-    """A new key, one million above the source's."""
-    return [
-        "concat('U', lpad(cast(c_custkey + 100000 as string), 6, '0')) as USER_ID" if c.endswith(" as USER_ID") else c
-        for c in columns
-    ]
+    """A new key, with a letter that no source key begins with."""
+    return ["concat('N', cast(c_custkey as string)) as USER_ID" if c.endswith(" as USER_ID") else c for c in columns]
 
 
 def _select(source: str, columns: list[str], where: str | None = None) -> str:

@@ -69,7 +69,7 @@ class Models:
 
     def given_segments(self) -> DataFrame:
         """Model output for every fourth user, so that both the score and the fallback occur."""
-        number = F.substring("user_id", 2, 6).cast("bigint")
+        number = F.expr("substring(user_id, 2)").cast("bigint")
         return self.stg_users().where(number % 4 == 0).select(
             "user_id",
             F.concat(F.lit("segment_"), (number % 3 + 1).cast("string")).alias("segment_name"),
@@ -81,7 +81,7 @@ class Models:
 
     def classic_segments(self) -> DataFrame:
         """Per-user features with a segment id by rule, in the scored table's form."""
-        number = F.substring("user_id", 2, 6).cast("bigint")
+        number = F.expr("substring(user_id, 2)").cast("bigint")
         return self.user_features().select(
             "*",
             (number % 4 + 1).alias("segment_id"),
