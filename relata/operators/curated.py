@@ -64,6 +64,20 @@ def user_360(users: DataFrame, sales: DataFrame, support: DataFrame, events: Dat
     )
 
 
+def _times(amount: Column, copies: Column) -> Column:
+    """``amount`` times a whole number below 10^18, exact, for results of up to 28 digits before the point.
+
+    One product of both at full width would lose decimals. So billions and the rest are multiplied apart; the types below
+    are wide enough for each step to be exact.
+    """
+    billion = F.lit(10**9).cast("decimal(10,0)")
+    count = copies.cast("decimal(18,0)")
+    rest = amount % billion
+    billions = ((amount - rest) / billion).cast("decimal(20,0)")
+    high = (billions * count).cast("decimal(20,0)") * billion
+    return (high.cast("decimal(37,9)") + (rest * count).cast("decimal(37,9)")).cast(NUMERIC)
+
+
 def user_360_distinct(users: DataFrame, sales: DataFrame, support: DataFrame) -> DataFrame:
     """Lean variant: what joining users x sales x tickets and then grouping by user yields.
 
@@ -93,8 +107,7 @@ def user_360_distinct(users: DataFrame, sales: DataFrame, support: DataFrame) ->
             "email",
             "country",
             F.coalesce("_deals", F.lit(0)).alias("sales_deal_count"),
-            # 25 + 12 + 1 digits: the widest exact product that keeps nine decimals.
-            (amount.cast("decimal(25,9)") * copies.cast("decimal(12,0)")).alias("total_deal_amount"),
+            _times(amount, copies).alias("total_deal_amount"),
             F.coalesce("_tickets", F.lit(0)).alias("support_ticket_count"),
             "avg_csat_score",
             amount.alias("total_deal_amount_exact"),

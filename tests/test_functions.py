@@ -138,3 +138,15 @@ def _python_integer(value):
 @given(st.lists(st.text("0123456789+-. _ex\t", max_size=22), min_size=40, max_size=80))
 def test_contract_integer_reads_what_python_reads(spark, inputs):
     assert values(spark, inputs, casting.contract_integer("x")) == [_python_integer(v) for v in inputs]
+
+
+def test_a_wide_amount_times_a_count_is_exact(spark):
+    from decimal import Decimal, localcontext
+
+    from relata.operators.curated import _times
+
+    values_ = [("20000000000000000.123456789", 3), ("0.999999999", 7), ("-12.5", 2), ("999999999.999999999", 999_999), ("1234567890123456789012.123456789", 1000)]
+    df = spark.createDataFrame([(Decimal(a), n) for a, n in values_], "a decimal(38,9), n long").withColumn("r", _times(F.col("a"), F.col("n")))
+    with localcontext() as context:
+        context.prec = 60
+        assert all(row.r == row.a * row.n for row in df.collect())
