@@ -6,9 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from relata.functions.text import contact_name
+from relata.functions.text import contact_name, lower_trimmed
 from relata.operators.audience import EMAIL_CONSENT, PARTNER_OPT_IN, PASSED, READY
 from relata.operators.dedupe import first_per_key
+from relata.operators.joins import apart, unmatched
 from relata.operators.paging import AUDIENCE_ORDER, page
 
 # Field names and texts of the member interface.
@@ -113,24 +114,28 @@ def payloads(rows: DataFrame, campaign_id: str) -> DataFrame:
     return rows.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("payload"))
 
 
-def _lowest_id(directory: DataFrame, name: str) -> DataFrame:
-    """One id per e-mail: the lowest, where several match."""
-    return directory.where(F.col("email").isNotNull() & (F.col("email") != "")).groupBy(
-        F.col("email").alias("lead_email")
-    ).agg(F.min("id").alias(name))
+def _directory(contacts: DataFrame, leads: DataFrame) -> DataFrame:
+    """One row per normalised e-mail: the lowest contact id and the lowest lead id, where several match."""
+    none = F.lit(None).cast("string")
+    email = lower_trimmed("email").alias("_email")
+    both = contacts.select(email, F.col("id").alias("_contact"), none.alias("_lead")).unionByName(
+        leads.select(email, none.alias("_contact"), F.col("id").alias("_lead"))
+    )
+    known = both.where(F.col("_email") != "").groupBy(*apart("_email"))
+    return known.agg(F.min("_contact").alias("_contact"), F.min("_lead").alias("_lead")).drop("_apart")
 
 
 def resolve_targets(audience: DataFrame, contacts: DataFrame, leads: DataFrame) -> DataFrame:
     """``id_field`` and ``member_id`` of each row: own contact id, else contact, else lead by e-mail.
 
-    Both directories are reduced to one id per address, so rows never multiply, and a hot address of
-    the audience is on the left, where adaptive execution can split it.
+    Both directories are one table with one row per address, so rows never multiply and one join does; a hot address of
+    the audience, or the NULL one, is on the left of two plain shuffles, where adaptive execution can split it.
     """
     own = F.nullif(F.col("salesforce_contact_id"), F.lit(""))
     contact = F.coalesce(own, F.col("_contact"))
     return (
-        audience.join(_lowest_id(contacts, "_contact"), "lead_email", "left")
-        .join(_lowest_id(leads, "_lead"), "lead_email", "left")
+        audience.withColumn("_email", lower_trimmed("lead_email"))
+        .join(_directory(contacts, leads), "_email", "left")
         .select(
             *audience.columns,
             F.when(contact.isNotNull(), F.lit(CONTACT_ID)).when(F.col("_lead").isNotNull(), F.lit(LEAD_ID)).alias("id_field"),
@@ -141,8 +146,8 @@ def resolve_targets(audience: DataFrame, contacts: DataFrame, leads: DataFrame)
 
 def new_members(targets: DataFrame, members: DataFrame, campaign_id: str) -> DataFrame:
     """Resolved rows whose target is not yet a member of the campaign, one row per target."""
-    mine = members.where(F.col("campaign_id") == campaign_id).select("id_field", "member_id").distinct()
-    fresh = targets.where(F.col("member_id").isNotNull()).join(mine, ["id_field", "member_id"], "left_anti")
+    mine = members.where(F.col("campaign_id") == campaign_id)
+    fresh = unmatched(targets.where(F.col("member_id").isNotNull()), mine, ["id_field", "member_id"])
     order = [F.coalesce(F.col(name), F.lit("")) for name in AUDIENCE_ORDER]
     rest = [F.col(n).asc_nulls_last() for n in fresh.columns if n not in {*AUDIENCE_ORDER, "id_field", "member_id"}]
     return first_per_key(fresh, ["id_field", "member_id"], [*order, *rest])

@@ -7,20 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from relata.functions.text import is_blank, trimmed
-from relata.session import shared_folder
 
-#: A key is hot when it holds at least this share of a side; so there are at most 1000 such keys.
-HOT_SHARE = 0.001
-HOT_MIN_ROWS = 10_000
-#: The smallest share accepted: it bounds the list of hot keys to 2000.
-LEAST_SHARE = 0.0005
-#: Up to this many missing keys (about 100 MB of ids) are broadcast to pick their rows.
-ORPHAN_KEY_LIMIT = 1_000_000
+#: Right rows of one key that a join meets in one place; a key with more is dealt into parts.
+PART_ROWS = 1_000_000
+
+
+def apart(key: str) -> list[Column]:
+    """Grouping columns for the keys of a right side that is joined on ``key``.
+
+    Grouped by the key and its hash, the right side lies otherwise than the join needs and is shuffled once more. Both
+    sides of the join are then plain shuffles, and adaptive execution can split a key that holds many left rows, NULL and
+    blank ones included. Grouped by the key alone, the aggregate would stand between shuffle and join and forbid that.
+    """
+    return [F.col(key), F.xxhash64(key).alias("_apart")]
 
 
 def known_keys(dimension: DataFrame, key: str) -> DataFrame:
     """The distinct trimmed keys of a dimension as ``_key``."""
-    return dimension.where(~is_blank(key)).select(trimmed(key).alias("_key")).distinct()
+    keys = dimension.where(~is_blank(key)).select(trimmed(key).alias("_key"))
+    return keys.groupBy(*apart("_key")).agg(F.count(F.lit(1)).alias("_rows")).select("_key")
 
 
 def orphans(fact: DataFrame, users: DataFrame, key: str = "user_id", dimension_key: str = "user_id") -> DataFrame:
@@ -50,24 +55,17 @@ def missing_keys(fact: DataFrame, users: DataFrame, key: str, dimension_key: str
 
 
 def measured_orphans(
-    fact: DataFrame,
-    users: DataFrame,
-    key: str = "user_id",
-    dimension_key: str = "user_id",
-    limit: int = ORPHAN_KEY_LIMIT,
+    fact: DataFrame, users: DataFrame, key: str = "user_id", dimension_key: str = "user_id"
 ) -> DataFrame:
-    """The rows of ``orphans`` without shuffling the fact table, when few keys are missing.
+    """The rows of ``orphans``, found through the missing keys.
 
-    The missing keys are found from key counts alone and checkpointed. Counted to be at most
-    ``limit``, they are broadcast and the fact rows are filtered where they lie; beyond that the
-    fact rows are shuffled as in ``orphans``.
+    These come from key counts alone; where they are few, the optimiser sends them to the fact rows, which stay in
+    place, by their measured size. With very many missing keys of which one holds most rows, ``orphans`` is the better
+    way: its join can be split, this one's cannot.
     """
-    shared_folder(fact.sparkSession)
-    missing = missing_keys(fact, users, key, dimension_key).checkpoint()
-    if missing.count() > limit:
-        return orphans(fact, users, key, dimension_key)
+    missing = missing_keys(fact, users, key, dimension_key)
     keyed = fact.where(~is_blank(key)).withColumn("_key", trimmed(key))
-    return keyed.join(F.broadcast(missing), "_key", "left_semi").drop("_key")
+    return keyed.join(missing, "_key", "left_semi").drop("_key")
 
 
 def normalised_left_join(fact: DataFrame, users: DataFrame, key: str = "user_id", dimension_key: str = "user_id") -> DataFrame:
@@ -98,59 +96,34 @@ def join_coverage(
     )
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> list:
-    """Keys holding at least ``share`` of the rows: at most ``1 / share`` values.
-
-    Two passes over one column and no shuffle of it: a frequent-items sketch names the candidates,
-    whose number the share bounds, and an exact count keeps those that are hot.
-    """
-    if share < LEAST_SHARE:
-        raise ValueError(f"share must be at least {LEAST_SHARE}, or the list of hot keys has no small bound")
-    present = df.where(F.col(key).isNotNull()).select(key)
-    candidates = present.stat.freqItems([key], share).first()[0]
-    if not candidates:
-        return []
-    wanted = F.col(key).isin(list(candidates))
-    counts = present.groupBy(F.when(wanted, F.col(key)).alias(key)).agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(row.n for row in counts)
-    return sorted(row[0] for row in counts if row[0] is not None and row.n >= max(min_rows, share * total))
-
-
-def skewed_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    parts: int = 64,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
-    """A left join whose right side may hold hot keys.
+def skewed_left_join(left: DataFrame, right: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """A left join whose right side may hold keys with very many rows.
 
-    Adaptive execution splits a hot left partition but cannot split the right side of a left join.
-    So the right rows of a hot key are dealt into ``parts`` by their hash, and the left rows of that
-    key visit each part. A hot key always has right rows, hence its empty visits can be dropped and
-    the result is that of the plain join. Without hot keys it is the plain join.
+    Adaptive execution splits a hot left partition but cannot split the right side of a left join. So a key with more than
+    ``part_rows`` right rows is dealt into as many parts as it takes, by a hash of its rows, and the left rows of that
+    key visit each part. Such a key always has right rows, hence its empty visits can be dropped and the result is that
+    of the plain join. Keys are counted before the shuffle; the table of large keys is joined, not collected.
     """
-    hot = hot_keys(right, key, share, min_rows)
-    if not hot:
-        return left.join(right, key, "left").select(*left.columns, *[name for name in right.columns if name != key])
-    is_hot = never_null(F.col(key).isin(hot))
     values = [name for name in right.columns if name != key]
-    dealt = right.select(
+    counts = right.where(F.col(key).isNotNull()).groupBy(*apart(key)).agg(F.count(F.lit(1)).alias("_rows"))
+    large = counts.where(F.col("_rows") > part_rows).select(key, F.ceil(F.col("_rows") / part_rows).cast("int").alias("_parts"))
+    dealt = right.join(large, key, "left").select(
         key,
         *values,
-        F.when(is_hot, F.pmod(F.xxhash64(*values), F.lit(parts)).cast("int")).otherwise(F.lit(0)).alias("_part"),
+        F.coalesce(F.pmod(F.xxhash64(*values), F.col("_parts")).cast("int"), F.lit(0)).alias("_part"),
         F.lit(True).alias("_met"),
     )
-    visits = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    visiting = left.select("*", is_hot.alias("_hot"), F.explode(visits).alias("_part"))
+    visits = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    visiting = left.join(large, key, "left").select(*left.columns, F.col("_parts").isNotNull().alias("_large"), F.explode(visits).alias("_part"))
     joined = visiting.join(dealt, [key, "_part"], "left")
-    return joined.where(F.col("_met") | ~F.col("_hot")).select(*left.columns, *values)
+    return joined.where(F.col("_met") | ~F.col("_large")).select(*left.columns, *values)
 
 
 def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left rows without a partner."""
-    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    names = list(keys)
+    present = right.groupBy(*names, F.xxhash64(*names).alias("_apart")).agg(F.count(F.lit(1)).alias("_rows"))
+    return left.join(present.select(*names), names, "left_anti")
 
 
 def never_null(condition: Column) -> Column:

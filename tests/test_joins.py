@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from relata.operators import dedupe, joins
+from relata.operators import activation, dedupe, joins
 
 
 @pytest.fixture
@@ -20,34 +20,69 @@ def sides(spark):
     return left, right
 
 
-def test_skewed_left_join_equals_a_plain_one(sides, rows):
+@pytest.mark.parametrize("part_rows", [1, 5, 1_000_000])
+def test_skewed_left_join_equals_a_plain_one(sides, rows, part_rows):
     left, right = sides
     plain = left.join(right, "k", "left").select("l", "k", "r", "maybe")
-    split = joins.skewed_left_join(left, right, "k", parts=8, min_rows=5).select("l", "k", "r", "maybe")
-    assert rows(split) == rows(plain)
-    assert "hot" in joins.hot_keys(right, "k", min_rows=5) and len(joins.hot_keys(right, "k", min_rows=5)) > 1
+    assert rows(joins.skewed_left_join(left, right, "k", part_rows).select("l", "k", "r", "maybe")) == rows(plain)
 
 
-def test_hot_list_has_a_bound(sides):
-    with pytest.raises(ValueError):
-        joins.hot_keys(sides[1], "k", share=0.0)
+def test_a_hot_right_key_is_dealt_by_its_size(spark):
+    right = spark.range(4000).select(F.when(F.col("id") % 5 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("r"))
+    left = spark.createDataFrame([("hot", 1), ("5", 2), (None, 3)], "k string, l int")
+    joined = joins.skewed_left_join(left, right, "k", part_rows=100)
+    assert joined.count() == 3200 + 2
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan
 
 
-def test_without_hot_keys_the_join_is_plain(sides, rows):
-    left, right = sides
-    joined = joins.skewed_left_join(left, right, "k")
-    assert "Generate" not in joined._jdf.queryExecution().executedPlan().toString()
-    assert rows(joined.select("l", "k", "r")) == rows(left.join(right, "k", "left").select("l", "k", "r"))
+#: Sizes that let adaptive execution split small test tables.
+SMALL_SPLITS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
 
 
-def test_a_third_in_one_key_is_found(spark):
-    df = spark.range(60000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k")
-    )
-    assert joins.hot_keys(df, "k") == ["hot"]
+@pytest.fixture
+def small_splits(spark):
+    before = {key: spark.conf.get(key, None) for key in SMALL_SPLITS}
+    for key, value in SMALL_SPLITS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_fact(spark, hot):
+    """Most rows have one key; the values do not compress."""
+    key = F.when(F.col("id") % 5 > 0, F.lit(hot)).otherwise(F.concat(F.lit("u"), (F.col("id") % 900).cast("string")))
+    return spark.range(60_000, numPartitions=8).select(key.alias("user_id"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+
+
+def splits(df):
+    df.collect()
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("hot", ["gone", "u7", None])
+def test_a_hot_left_key_is_split(spark, small_splits, hot):
+    fact = hot_fact(spark, hot)
+    users = spark.range(900).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_id"))
+    assert splits(joins.normalised_left_join(fact, users))
+    if hot:
+        assert splits(joins.orphans(fact, users)) and splits(joins.unmatched(fact, users, ["user_id"]))
+
+
+def test_a_hot_address_is_split(spark, small_splits):
+    audience = hot_fact(spark, None).select(F.col("user_id").alias("lead_email"), F.lit(None).cast("string").alias("salesforce_contact_id"), "v")
+    directory = spark.range(900).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("email"), F.col("id").cast("string").alias("id"))
+    assert splits(activation.resolve_targets(audience, directory, directory))
 
 
-def test_measured_orphans_equal_plain_ones_on_both_sides_of_the_limit(spark, rows):
+def test_measured_orphans_equal_plain_ones(spark, rows):
     fact = spark.range(500).select(
         F.when(F.col("id") % 3 == 0, F.lit("gone")).otherwise(F.concat(F.lit(" u"), (F.col("id") % 60).cast("string"))).alias("user_id"),
         F.col("id"),
@@ -56,7 +91,6 @@ def test_measured_orphans_equal_plain_ones_on_both_sides_of_the_limit(spark, row
     plain = rows(joins.orphans(fact, users))
     assert len(plain) > 167
     assert rows(joins.measured_orphans(fact, users)) == plain
-    assert rows(joins.measured_orphans(fact, users, limit=1)) == plain
 
 
 def test_hot_key_is_dealt_to_many_parts(spark):
