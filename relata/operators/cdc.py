@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from relata.operators.dedupe import first_per_key
 
@@ -19,16 +21,23 @@ def last_changes(changes: DataFrame, key: Sequence[str], order: str = SEQ) -> Da
     return first_per_key(changes, list(key), [F.col(order).desc_nulls_last(), F.col(OP).asc(), *rest])
 
 
+def _met(base: DataFrame, last: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Base rows and last changes side by side: structs ``_base`` and ``_change``, one of them NULL where a key has one only."""
+    old = base.select(F.struct(*base.columns).alias("_base"))
+    new = last.select(F.struct(*last.columns).alias("_change"))
+    same = [F.col(f"_base.{name}").eqNullSafe(F.col(f"_change.{name}")) for name in key]
+    return old.join(new, reduce(and_, same), "full_outer")
+
+
 def apply_changes(snapshot: DataFrame, changes: DataFrame, key: Sequence[str], order: str = SEQ) -> DataFrame:
     """Current row per key: untouched snapshot rows, and the last change of each changed key unless a delete.
 
-    Changes are reduced to one row per key first, so the snapshot meets only the changed keys; with
-    few changes the optimiser broadcasts them by their measured size and the snapshot stays in place.
+    The feed is ranked once and the snapshot, which has one row per key, is read once.
     """
-    last = last_changes(changes, key, order)
-    untouched = snapshot.join(last.select(*key), list(key), "left_anti")
-    changed = last.where(F.col(OP) != DELETE).select(*snapshot.columns)
-    return untouched.select(*snapshot.columns).unionByName(changed)
+    met = _met(snapshot, last_changes(changes, key, order), key)
+    changed = F.col("_change").isNotNull()
+    kept = met.where(~changed | (F.col(f"_change.{OP}") != DELETE))
+    return kept.select(*[F.when(changed, F.col(f"_change.{n}")).otherwise(F.col(f"_base.{n}")).alias(n) for n in snapshot.columns])
 
 
 def as_base(snapshot: DataFrame) -> DataFrame:
@@ -39,15 +48,21 @@ def as_base(snapshot: DataFrame) -> DataFrame:
 def merge_changes(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """``base`` with changes merged, both in change form, deletes kept as marks.
 
-    The marks and sequence numbers let a change that arrives late lose against what is already
-    merged. Only base rows of changed keys are ranked again; the others pass through.
+    The marks and sequence numbers let a change that arrives late lose against what is already merged. The feed is
+    ranked once and the base, which has one row per key, is read once; of both rows of a key the one that
+    ``last_changes`` would rank first stays.
     """
-    last = last_changes(changes, key)
-    keys = last.select(*key)
-    touched = base.join(keys, list(key), "left_semi").select(*base.columns)
-    untouched = base.join(keys, list(key), "left_anti").select(*base.columns)
-    ranked = last_changes(touched.unionByName(last.select(*base.columns)), key)
-    return untouched.unionByName(ranked)
+    met = _met(base, last_changes(changes, key), key)
+    rest = [name for name in base.columns if name not in {*key, SEQ, OP}]
+
+    def rank(side: str) -> Column:
+        """Less is first: known sequence numbers before NULL, the greater ones first, then operation and values."""
+        values = [part for name in (OP, *rest) for part in (F.col(f"{side}.{name}").isNull(), F.col(f"{side}.{name}"))]
+        seq = F.col(f"{side}.{SEQ}")
+        return F.struct(seq.isNull(), -seq, *values)
+
+    older = F.col("_base").isNull() | (F.col("_change").isNotNull() & (rank("_change") < rank("_base")))
+    return met.select(*[F.when(older, F.col(f"_change.{n}")).otherwise(F.col(f"_base.{n}")).alias(n) for n in base.columns])
 
 
 def live_rows(base: DataFrame) -> DataFrame:

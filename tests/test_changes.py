@@ -72,7 +72,7 @@ def test_insert_missing_leaves_present_rows(spark, snapshot, rows):
 def test_changes_are_reduced_before_the_snapshot_is_met(spark, snapshot):
     changes = spark.createDataFrame(CHANGES, FEED)
     plan = cdc.apply_changes(snapshot, changes, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan and "WindowGroupLimit" in plan and "CartesianProduct" not in plan
+    assert "FullOuter" in plan and "WindowGroupLimit" in plan and "CartesianProduct" not in plan
 
 
 def test_change_schema(snapshot):
@@ -88,3 +88,20 @@ def test_hot_key_in_the_feed(spark, snapshot, rows):
     )
     found = {row.k: row.v for row in cdc.apply_changes(snapshot, feed, ["k"]).collect()}
     assert found["a"] == 2997 and len(found) == 2000 + 4
+
+
+def test_one_ranking_and_one_scan_of_the_base(spark, snapshot, tmp_path):
+    snapshot.write.parquet(str(tmp_path / "base"))
+    spark.createDataFrame(CHANGES, FEED).write.parquet(str(tmp_path / "feed"))
+    base, feed = spark.read.parquet(str(tmp_path / "base")), spark.read.parquet(str(tmp_path / "feed"))
+    for merged in (cdc.apply_changes(base, feed, ["k"]), cdc.merge_changes(cdc.as_base(base), feed, ["k"])):
+        plan = merged._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Window [") == 1 and plan.count("Relation [") == 2
+
+
+def test_a_merge_ranks_both_sides_alike(spark, rows):
+    one = [("a", 1, "U", 5), ("b", 1, "I", None), ("c", 1, "D", 3), ("d", None, "U", 2), ("e", 4, "U", None), (None, 1, "U", 1)]
+    two = [("a", 2, "D", 5), ("b", 2, "U", 1), ("c", 1, "U", 3), ("d", 7, "U", 2), ("e", 3, "U", None), (None, 2, "U", 9), ("f", 1, "I", 1)]
+    one, two = (spark.createDataFrame(x, FEED) for x in (one, two))
+    expected = rows(cdc.last_changes(one.unionByName(two), ["k"]).select("k", "v", "op", "seq"))
+    assert rows(cdc.merge_changes(one, two, ["k"])) == rows(cdc.merge_changes(two, one, ["k"])) == expected
