@@ -82,7 +82,7 @@ def governed_graph(m: Models) -> DataFrame:
         "crm_new_partner_leads": m.raw("raw_leads"),
     }
     layers = Layers(m.spark, tempfile.mkdtemp(prefix="relata-bench-"))
-    return nightly.governed_models(layers, raw, AS_OF, fit=False)
+    return nightly.governed_models(layers, raw, AS_OF)
 
 
 HEADLINE = {

@@ -341,6 +341,18 @@ query(
         (F.max(F.to_date("event_ts")) >= F.date_sub(F.to_date(as_of()), 7)).alias("events_recent"),
     )
 )
+
+
+def _sampled_share(m: Models) -> DataFrame:
+    """Whether each rule of a half sample saw about half of the rows: within six deviations."""
+    rows = m.stg_sales()
+    total = rows.agg(F.count(F.lit(1)).cast("double")).scalar()
+    found = scans.scan(rows, "stg-crm-sales", built_in_rules("staging_sales").rules, AS_OF, 50)
+    within = F.abs(F.col("rule_rows_evaluated") - total / 2) <= 6 * F.sqrt(total / 4)
+    return found.select("rule_name", within.alias("within"))
+
+
+query("l23_sampled_share", oracle("select rule_name, true as within from scan_staging_sales", "scan_staging_sales"))(_sampled_share)
 query("l23_sampled_scan")(lambda m: scans.scan(m.stg_sales(), "stg-crm-sales", built_in_rules("staging_sales").rules, AS_OF, 50))
 query(
     "l24_nested_results",

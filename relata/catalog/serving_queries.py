@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from dataclasses import replace
 from datetime import date
 
@@ -12,15 +13,15 @@ from relata.catalog.models import Models
 from relata.catalog.oracles import PIECES, doubles, oracle, texts
 from relata.catalog.portable import portable
 from relata.functions.records import utc
-from relata.operators import activation, cdc, segments, validation
+from relata.operators import activation, audit, cdc, segments, validation
 from relata.operators.aggregates import row_counts
 from relata.operators.audience import selected_segments
 from relata.session import scratch_path
 from relata.sinks import tables
 from relata.sinks.tables import Layers
 from relata.sources import csv_files
-from relata.sources.contracts import CONTRACTS, Contract
-from relata.sources.manifest import MANIFEST_SCHEMA, manifest_files
+from relata.sources.contracts import CONTRACTS, Contract, ContractError
+from relata.sources.manifest import manifest_files, read_manifest
 from relata.streaming.changes import ChangeTable, start_cdc
 
 QUERIES: dict = {}
@@ -106,15 +107,17 @@ query("a5_positional_csv", oracle("select ticket_id, '\"' || category as categor
 
 
 def _manifest_round_trip(m: Models) -> DataFrame:
+    """Each day's manifest as a JSON document over several lines in a file of its own, read by the manifest reader."""
     path = scratch_path(m.spark, "manifest")
     entry = F.struct("source_type", "object_uri", F.col("size_bytes").cast("bigint").alias("size_bytes"), F.lit("1").alias("generation"))
     documents = m.raw("arrival_announced").groupBy("run_date").agg(F.collect_list(entry).alias("files"))
-    documents.select(
+    documents = documents.select(
         "run_date", F.lit("job").alias("transfer_job_name"), F.lit("op").alias("transfer_operation_id"), F.lit("SUCCESS").alias("status"), "files"
-    ).write.json(path)
-    # Spark writes one document per line, so this reads them line by line with the manifest's schema.
-    found = m.spark.read.schema(MANIFEST_SCHEMA).json(path)
-    return manifest_files(found).drop("generation")
+    )
+    lines = F.replace(F.to_json(F.struct("*"), {"pretty": "true"}), F.lit("\n"), F.lit("\n\n"))
+    # A folder per day holds one document.
+    documents.select(F.col("run_date").alias("day"), lines.alias("value")).repartition("day").write.partitionBy("day").text(path)
+    return manifest_files(read_manifest(m.spark, f"{path}/day=*/*.txt")).drop("generation")
 
 
 query(
@@ -132,7 +135,7 @@ query(
 )(
     lambda m: selected_segments(m.spark)
     .join(
-        m.raw("user_raw").groupBy((F.substring("USER_ID", 2, 6).cast("bigint") % 4 + 1).alias("segment_id")).agg(
+        m.raw("user_raw").groupBy((F.expr("substring(USER_ID, 2)").cast("bigint") % 4 + 1).alias("segment_id")).agg(
             F.count(F.lit(1)).alias("users")
         ),
         "segment_id",
@@ -369,6 +372,43 @@ query("k2_fit_classic")(
         m.user_features()
     )
 )
+
+
+def _fit_quality(m: Models, features: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """What every fit must keep: all users scored, four segments, each user at its nearest center, less cost than one center has."""
+    path = scratch_path(m.spark, "features")
+    features.write.parquet(path)
+    features = m.spark.read.parquet(path)
+    model = segments.fit_segments(features, names)
+    at = F.col("nearest_centroids_distance")
+    scaled = [
+        (F.coalesce(F.col(name).cast("double"), F.lit(mean)) - F.lit(mean)) / F.lit(dev) if dev > 0 else F.lit(0.0)
+        for name, mean, dev in zip(model.features, model.means, model.deviations)
+    ]
+    to_mean = F.aggregate(F.array(*[value * value for value in scaled]), F.lit(0.0), lambda total, square: total + square)
+    scored = segments.score_segments(model, features)
+    return scored.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count_distinct("centroid_id").alias("segments"),
+        F.bool_and(at[0]["distance"] == F.array_min(F.transform(at, lambda pair: pair["distance"]))).alias("nearest"),
+        (F.sum(F.pow(at[0]["distance"], 2)) < F.sum(to_mean)).alias("better_than_one"),
+    )
+
+
+_FIT = "select count(*) as users, 4 as segments, true as nearest, true as better_than_one from {0} where user_id is not null"
+query("k1_fit_quality", oracle(_FIT.format("features"), "features"))(lambda m: _fit_quality(m, m.features(), _GOVERNED))
+query("k2_fit_quality", oracle(_FIT.format("user_features"), "user_features"))(
+    lambda m: _fit_quality(m, m.user_features(), segments.CLASSIC_FEATURES)
+)
+
+
+def _scored_shape(m: Models) -> DataFrame:
+    scored = segments.user_segments_governed(*_governed_scored(m), as_of())
+    known = F.col("segment_name").isin([f"segment_{i}" for i in range(1, 5)]) & (F.col("segment_score") > 0) & (F.col("segment_score") <= 100)
+    return scored.select("user_id", F.col("run_date").cast("string").alias("run_date"), known.alias("known"))
+
+
+query("k8_scored_shape", oracle(f"select user_id, '{RUN_DATE}' as run_date, true as known from features where user_id is not null", "features"))(_scored_shape)
 query("k8_scored_users")(lambda m: segments.user_segments_governed(*_governed_scored(m), as_of()))
 query(
     "k3_mean_imputation",
@@ -433,7 +473,7 @@ CAMPAIGN = "CAMP_MOCK_1"
 
 def _eligible(m: Models) -> DataFrame:
     """The audience with own contact ids and unready rows planted by score and id."""
-    number = F.substring("user_id", 2, 6).cast("bigint")
+    number = F.expr("substring(user_id, 2)").cast("bigint")
     members = m.audience().withColumns(
         {
             "salesforce_contact_id": F.when(number % 7 == 0, F.concat(F.lit("003own"), number.cast("string"))),
@@ -617,5 +657,45 @@ query(
 )(
     lambda m: (
         lambda u, number: cdc.insert_missing(u.where(number % 3 != 0), u.withColumn("city", F.lit("SEED")), ["user_id"])
-    )(m.lower_users().select(*_USER_NAMES), F.substring("user_id", 2, 6).cast("bigint"))
+    )(m.lower_users().select(*_USER_NAMES), F.expr("substring(user_id, 2)").cast("bigint"))
 )
+
+# ---------------------------------------------------------------- M5 and C7: steps and refusals
+
+def _audited_steps(m: Models) -> DataFrame:
+    """Three steps over the orders, recorded and read back: one counts them, one finds nothing to do, one fails."""
+    layers = Layers(m.spark, scratch_path(m.spark, "audited"))
+    layers.ensure("audit", "step_status", audit.STEP_STATUS_SCHEMA)
+    orders = m.raw("crm_sales")
+
+    def skip() -> None:
+        if orders.where("deal_id = 'none'").isEmpty():
+            raise audit.SkipStep("no such deal")
+
+    def fail() -> None:
+        raise ValueError(f"{'some' if orders.take(1) else 'no'} rows, sent with Bearer abc")
+
+    for name, step in (("count", orders.count), ("skip", skip), ("fail", fail)):
+        with suppress(audit.SkipStep, ValueError):
+            audit.audited(m.spark, lambda row: layers.append(row, "audit", "step_status"), AS_OF, "nightly", "run-1", name, step)
+    return layers.read("audit", "step_status").select("task_id", "status", "message", "try_number")
+
+
+query(
+    "m5_audited_steps",
+    "select 'count' as task_id, 'SUCCESS' as status, null as message, 1 as try_number union all select 'skip', 'SKIPPED', 'no such deal', 1 "
+    "union all select 'fail', 'FAILED', (case when count(*) > 0 then 'some' else 'no' end) || ' rows, sent with Bearer [REDACTED]', 1 from orders",
+)(_audited_steps)
+
+
+def _refused_contract(m: Models) -> DataFrame:
+    """A contract with an unknown type is refused before any of its rows is read."""
+    try:
+        replace(LEADS, columns=(*LEADS.columns, replace(LEADS.columns[0], name="point", type="GEOGRAPHY")))
+        refused = False
+    except ContractError as error:
+        refused = "GEOGRAPHY" in str(error)
+    return m.raw("text_leads").agg(F.count(F.lit(1)).alias("unread_rows")).withColumn("refused", F.lit(refused))
+
+
+query("c7_unknown_type", oracle("select count(*) as unread_rows, true as refused from text_leads", "text_leads"))(_refused_contract)

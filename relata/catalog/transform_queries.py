@@ -433,7 +433,7 @@ query(
     ),
 )(
     lambda m: m.raw("user_raw")
-    .select("user_id", (F.substring("user_id", 2, 6).cast("bigint") % 4 + 1).alias("segment_id"))
+    .select("user_id", (F.expr("substring(user_id, 2)").cast("bigint") % 4 + 1).alias("segment_id"))
     .join(F.broadcast(audience.selected_segments(m.spark)), "segment_id")
     .select(F.col("user_id"), "campaign_code")
 )
@@ -505,9 +505,7 @@ query(
         m.stg_leads().select("external_lead_id", "lead_email", "partner_name"),
         m.stg_users().select(F.col("email").alias("lead_email"), "user_id"),
         "lead_email",
-        parts=4,
-        share=joins.LEAST_SHARE,
-        min_rows=2,
+        part_rows=1,
     )
 )
 
@@ -664,6 +662,15 @@ def _page(m: Models, limit: int, offset: int) -> DataFrame:
 
 
 query("h2_total_order", oracle(f"select {_PAGED} from audience", "audience"))(lambda m: _page(m, 0, 0))
+query(
+    "h2_order_of_rows",
+    oracle(f"select {_PAGED}, place from (select *, row_number() over ({_ORDER}) as place from audience) q where place between 101 and 150", "audience"),
+)(
+    # The page's own order, shown by numbering the rows as they come.
+    lambda m: _page(m, 50, 100).agg(F.collect_list(F.struct("*")).alias("rows")).select(F.posexplode("rows").alias("at", "row")).select(
+        "row.*", (F.col("at") + 101).alias("place")
+    )
+)
 query("h3_page", oracle(f"select {_PAGED} from (select * from audience {_ORDER} limit 50 offset 100) q", "audience"))(lambda m: _page(m, 50, 100))
 query("h3_page_offset_only", oracle(f"select {_PAGED} from (select * from audience {_ORDER} offset 100) q", "audience"))(lambda m: _page(m, 0, 100))
 query(
@@ -779,6 +786,13 @@ query(
         F.least(F.lit(100).cast("bigint"), F.col("deal_count") * 5).alias("points"),
     )
 )
+query("j16_uuid_shape", "select count(*) as rows, count(*) as ids, true as shaped from customer")(
+    lambda m: m.raw("user_raw").select(F.uuid().alias("id")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("id").alias("ids"),
+        F.bool_and(F.col("id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")).alias("shaped"),
+    )
+)
 query("j16_uuid")(lambda m: m.raw("user_raw").select(F.col("user_id"), F.uuid().alias("execution_id")))
 query(
     "j19_contact_name",

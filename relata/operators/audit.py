@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from relata.functions.text import redacted
 from relata.operators.paging import latest_runs
 from relata.operators.quality import QualityGateError
 
@@ -130,7 +131,8 @@ def audited(
 
     def write(status: str, message: str | None) -> None:
         row = (run_date.date(), dag_id, run_id, task_id, try_number, status, started, now(), message)
-        record(spark.createDataFrame([row], STEP_STATUS_SCHEMA))
+        # Messages may quote what a remote service was sent.
+        record(spark.createDataFrame([row], STEP_STATUS_SCHEMA).withColumn("message", redacted("message")))
 
     def now() -> datetime:
         return datetime.now(timezone.utc)

@@ -32,8 +32,11 @@ SCAN_SCHEMA = (
 )
 
 
-def governed_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetime, fit: bool = True) -> DataFrame:
-    """Staging to audience; every layer is materialised once and read back by the next."""
+def governed_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetime, model: segments.SegmentModel | None = None) -> DataFrame:
+    """Staging to audience; every layer is materialised once and read back by the next.
+
+    Users are scored by ``model``, an earlier fit, or else by one fitted to these features.
+    """
     now = instant(as_of)
     users = layers.replace(staging.stg_users(raw["user_raw"]), "staging", "stg_oracle_users")
     sales = layers.replace(staging.stg_crm_sales(raw["crm_sales"]), "staging", "stg_crm_sales")
@@ -48,11 +51,8 @@ def governed_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetim
     profile = layers.replace(curated.user_360(users, sales, support, events, now), "curated", "user_360")
     checks.assertion(checks.assert_unique_user(profile), "user_360_unique")
     features = layers.replace(curated.segmentation_features(profile, now), "mart", "user_segmentation_features")
-    if fit:
-        model = segments.fit_segments(features, segments.GOVERNED_FEATURES)
-        scored = segments.user_segments_governed(model, features, now)
-    else:
-        scored = segments.user_segments_governed(_no_model(), features.limit(0), now)
+    model = model or segments.fit_segments(features, segments.GOVERNED_FEATURES)
+    scored = segments.user_segments_governed(model, features, now)
     scored = layers.replace(scored, "mart", "user_segments")
     members = layers.replace(
         audience.audience_governed(profile, scored, matches, now), "mart", "salesforce_campaign_audience"
@@ -61,11 +61,6 @@ def governed_models(layers: Layers, raw: Mapping[str, DataFrame], as_of: datetim
     return members
 
 
-def _no_model() -> segments.SegmentModel:
-    width = len(segments.GOVERNED_FEATURES)
-    return segments.SegmentModel(segments.GOVERNED_FEATURES, (0.0,) * width, (1.0,) * width, ((0.0,) * width,))
-
-
 def governed_quality(layers: Layers, as_of: datetime, honour_action: bool = False) -> None:
     """Scan the two curated tables, keep the results, then judge them."""
     for table, name, rules in (
