@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from relata.operators.validation import BLOCK, FILE, ORDINAL, RAW_ROW
 from relata.sources.contracts import Contract
-from relata.sources.files import first_line, matching_files
+from relata.sources.files import first_record, matching_files
 
 UNNAMED = "_extra_"
 
@@ -19,18 +20,32 @@ def file_glob(prefix: str, contract: Contract) -> str:
     return prefix.rstrip("/") + "/" + contract.file_pattern
 
 
-def header_groups(spark: SparkSession, paths: list[str], contract: Contract) -> dict[tuple[str, ...], list[str]]:
-    """Paths by header. Only the first line of each file is fetched; no row is read here."""
+def header_groups(
+    spark: SparkSession, paths: list[str], contract: Contract, multi_line: bool = True
+) -> dict[tuple[str, ...], list[str]]:
+    """Paths by header, which is empty where a file's first line is. Only the header of each file is fetched here."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    quote = contract.quote if multi_line else None
     with ThreadPoolExecutor(max_workers=16) as pool:
-        for path, line in zip(paths, pool.map(lambda p: first_line(spark, p), paths)):
-            text = line.lstrip("\ufeff")
-            names = next(csv.reader([text], delimiter=contract.delimiter, quotechar=contract.quote), [])
-            if names:
-                groups[tuple(names)].append(path)
+        for path, record in zip(paths, pool.map(lambda p: first_record(spark, p, quote), paths)):
+            text = io.StringIO(record.lstrip("\ufeff"), newline="")
+            names = next(csv.reader(text, delimiter=contract.delimiter, quotechar=contract.quote), [])
+            groups[tuple(names)].append(path)
     return groups
 
 
+def _without_header(spark: SparkSession, paths: list[str], contract: Contract) -> DataFrame:
+    """The lines of files that begin with an empty line: no contract column has a value, the raw row keeps the text."""
+    absent = F.lit(None).cast("string")
+    return spark.read.text(paths).where("value != ''").select(
+        *[absent.alias(name) for name in contract.names],
+        F.create_map(F.lit(""), F.col("value")).alias(RAW_ROW),
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias(ORDINAL),
+    )
+
+
 def _one_header(
     spark: SparkSession, header: tuple[str, ...], paths: list[str], contract: Contract, multi_line: bool
 ) -> DataFrame:
@@ -71,15 +86,19 @@ def _one_header(
 def read_crm_csv(spark: SparkSession, prefix: str, contract: Contract, multi_line: bool = True) -> DataFrame:
     """All files of a contract below ``prefix``, columns taken by header name.
 
+    A file whose first line is empty has no header: its rows lack every column and are rejected as such, not lost.
     Columns the header lacks are NULL, further ones are ignored but kept in the raw row. With
     ``multi_line`` a quoted value may hold newlines and a file is one unit of work; switch it off
     for exports known to hold none, and large files are split among tasks.
     """
     paths = matching_files(spark, file_glob(prefix, contract))
-    groups = header_groups(spark, paths, contract)
+    groups = header_groups(spark, paths, contract, multi_line)
     result = None
     for header in sorted(groups):
-        part = _one_header(spark, header, groups[header], contract, multi_line)
+        if any(header):
+            part = _one_header(spark, header, groups[header], contract, multi_line)
+        else:
+            part = _without_header(spark, groups[header], contract)
         result = part if result is None else result.unionByName(part)
     if result is None:
         raw_map = T.MapType(T.StringType(), T.StringType())

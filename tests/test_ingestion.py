@@ -136,3 +136,21 @@ def test_audit_schema_matches(spark, folder):
     assert [(f.name, f.dataType) for f in audit.schema.fields] == [(f.name, f.dataType) for f in expected.fields]
     row = audit.first()
     assert row.input_count == row.valid_count + row.rejected_count
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_a_file_that_begins_with_an_empty_line_is_rejected_not_lost(spark, tmp_path, multi_line):
+    (tmp_path / "crm_new_partner_leads_a.csv").write_text(HEADER + "\nL1,a@b.co,P,1,web,,yes\n")
+    (tmp_path / "crm_new_partner_leads_b.csv").write_text("\n" + HEADER + "\nL2,b@b.co,P,1,web,,yes\n")
+    checked = validation.validated(csv_files.read_crm_csv(spark, str(tmp_path), LEADS, multi_line), LEADS)
+    assert tuple(validation.ingestion_counts(checked).first()) == (3, 1, 2)
+    raw = {row._raw_row[""] for row in checked.where(F.size("_raw_row") == 1).collect()}
+    assert raw == {HEADER, "L2,b@b.co,P,1,web,,yes"}
+
+
+def test_a_quoted_newline_in_the_header_stays_in_its_name(spark, tmp_path):
+    header = 'external_lead_id,"a\nnote",email,lead_score'
+    (tmp_path / "crm_new_partner_leads_a.csv").write_text(header + '\nL1,"one\ntwo",a@b.co,7\n')
+    (row,) = csv_files.read_crm_csv(spark, str(tmp_path), LEADS).collect()
+    assert (row.external_lead_id, row.email, row.lead_score) == ("L1", "a@b.co", "7")
+    assert row._raw_row["a\nnote"] == "one\ntwo"
