@@ -573,6 +573,18 @@ query(
 query("n5_missing_contacts", oracle(f"select {_NAME}, lead_email as Email, 'Partner Referral' as LeadSource {_PEOPLE}", "targets"))(
     lambda m: activation.missing_contacts(_targets(m))
 )
+query(
+    "n5_created_members",
+    oracle(
+        "select 'CAMP_MOCK_1' as CampaignId, 'LeadId' as IdField, email as Email, 'Responded' as Status "
+        "from (select distinct lower(trim(lead_email)) as email from targets where member_id is null and trim(lead_email) <> '') q",
+        "targets",
+    ),
+)(
+    lambda m: activation.created_members(
+        activation.new_members(activation.with_created(_targets(m), "LeadId"), m.raw("members"), CAMPAIGN), CAMPAIGN, "Responded"
+    )
+)
 query("n6_outcome_counts", oracle(_COUNTS, "outcomes"))(lambda m: activation.outcome_counts(_targets(m), m.raw("members"), CAMPAIGN))
 query(
     "n6_push_failures",

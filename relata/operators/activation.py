@@ -21,6 +21,9 @@ NO_TARGET = "No Salesforce Contact or Lead found"
 ALREADY_PUSHED = "Skipped because a successful non-dry-run execution already exists."
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
+#: Begins the member id of a person that does not exist yet.
+BY_EMAIL = "email:"
+
 CREATED, SKIPPED_EXISTING, FAILED_NO_TARGET = "created", "skipped_existing", "failed"
 
 PUSH_RUN_SCHEMA = (
@@ -156,7 +159,7 @@ def new_members(targets: DataFrame, members: DataFrame, campaign_id: str) -> Dat
 def member_payloads(fresh: DataFrame, campaign_id: str, status: str = DEFAULT_MEMBER_STATUS) -> DataFrame:
     """Member rows to create, one id column filled."""
     target = F.col("member_id")
-    return fresh.select(
+    return fresh.where(~target.startswith(BY_EMAIL)).select(
         F.lit(campaign_id).alias("CampaignId"),
         F.when(F.col("id_field") == CONTACT_ID, target).alias(CONTACT_ID),
         F.when(F.col("id_field") == LEAD_ID, target).alias(LEAD_ID),
@@ -191,6 +194,28 @@ def missing_contacts(targets: DataFrame) -> DataFrame:
     return missing_leads(targets).drop("Company")
 
 
+def with_created(targets: DataFrame, id_field: str) -> DataFrame:
+    """Targets once the missing people are created: rows with an address point to the person to come, by that address."""
+    email = lower_trimmed("lead_email")
+    comes = F.col("member_id").isNull() & (F.coalesce(email, F.lit("")) != "")
+    return targets.withColumns(
+        {
+            "id_field": F.when(comes, F.lit(id_field)).otherwise(F.col("id_field")),
+            "member_id": F.when(comes, F.concat(F.lit(BY_EMAIL), email)).otherwise(F.col("member_id")),
+        }
+    )
+
+
+def created_members(fresh: DataFrame, campaign_id: str, status: str = DEFAULT_MEMBER_STATUS) -> DataFrame:
+    """Members to add of people that the same push creates; the address stands for the id they will get."""
+    return fresh.where(F.col("member_id").startswith(BY_EMAIL)).select(
+        F.lit(campaign_id).alias("CampaignId"),
+        F.col("id_field").alias("IdField"),
+        F.substring("member_id", len(BY_EMAIL) + 1, 1 << 30).alias("Email"),
+        F.lit(status).alias("Status"),
+    )
+
+
 def target_outcomes(targets: DataFrame, members: DataFrame, campaign_id: str) -> DataFrame:
     """Rows created, skipped and failed per target.
 

@@ -9,13 +9,15 @@ Three variants share the operators but not the business definitions:
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from relata.functions.records import instant, utc
+from relata.functions.records import instant
+from relata.functions.text import BEARER_REDACTED, BEARER_TOKEN
 from relata.operators import activation, audience, checks, curated, quality, scans, segments, staging
 from relata.operators.aggregates import row_counts
 from relata.sinks.tables import Layers
@@ -133,34 +135,53 @@ def activate(
     allow_repeat: bool = False,
     limit: int = 0,
     offset: int = 0,
+    create_missing: str | None = None,
+    member_status: str = activation.DEFAULT_MEMBER_STATUS,
 ) -> str:
     """Write the payloads of a push and its audit row; returns the run's status.
 
     ``directory`` holds ``contacts``, ``leads`` (``id``, ``email``) and ``members`` (``campaign_id``,
     ``id_field``, ``member_id``). Payloads are written as files; sending them is the caller's.
+    ``create_missing`` is ``LeadId`` or ``ContactId`` to write a batch of such people for addresses that no directory
+    knows, and members that refer to them by address. An exception leaves a FAILED audit row and goes on to the caller.
     """
-    schema, now, moment = activation.PUSH_RUN_SCHEMA, instant(as_of), utc(as_of)
+    if create_missing not in (None, activation.LEAD_ID, activation.CONTACT_ID):
+        raise ValueError(f"people cannot be created as {create_missing}")
+    schema, started = activation.PUSH_RUN_SCHEMA, datetime.now(timezone.utc)
     layers.ensure("audit", "salesforce_push_runs", schema)
     day = datetime.strptime(run_date, "%Y-%m-%d").date()
 
     def record(status: str, count: int, message: str | None = None) -> str:
-        row = (day, campaign_id, moment, moment, status, count, dry_run, message)
+        row = (day, campaign_id, started, datetime.now(timezone.utc), status, count, dry_run, message)
         layers.append_row(row, "audit", "salesforce_push_runs", schema)
         return status
 
     history = layers.read("audit", "salesforce_push_runs")
     if not dry_run and not allow_repeat and activation.already_pushed(history, run_date, campaign_id):
         return record(activation.SUCCESS, 0, activation.ALREADY_PUSHED)
-    rows = activation.eligible_page(members, run_date, limit, offset)
     out = f"{layers.path('activation', campaign_id)}/run_date={run_date}"
-    if dry_run:
-        activation.payloads(rows, campaign_id).write.mode("overwrite").text(f"{out}/dry_run")
-        return record(activation.SUCCESS, spark.read.text(f"{out}/dry_run").count())
-    targets = activation.resolve_targets(rows, directory["contacts"], directory["leads"])
-    fresh = activation.new_members(targets, directory["members"], campaign_id)
-    activation.member_payloads(fresh, campaign_id).write.mode("overwrite").json(f"{out}/members")
-    activation.push_failures(targets).write.mode("overwrite").json(f"{out}/failures")
-    counts = activation.outcome_counts(targets, directory["members"], campaign_id)
-    audit = activation.push_audit(counts, run_date, campaign_id, now, now).first()
+    try:
+        rows = activation.eligible_page(members, run_date, limit, offset)
+        if dry_run:
+            activation.payloads(rows, campaign_id).write.mode("overwrite").text(f"{out}/dry_run")
+            return record(activation.SUCCESS, spark.read.text(f"{out}/dry_run").count())
+        # Written once: the payloads, the failures and the counts all read them back.
+        targets = activation.resolve_targets(rows, directory["contacts"], directory["leads"])
+        targets.write.mode("overwrite").parquet(f"{out}/targets")
+        targets = spark.read.schema(targets.schema).parquet(f"{out}/targets")
+        if create_missing:
+            people = activation.missing_leads if create_missing == activation.LEAD_ID else activation.missing_contacts
+            people(targets).write.mode("overwrite").json(f"{out}/people")
+            targets = activation.with_created(targets, create_missing)
+        fresh = activation.new_members(targets, directory["members"], campaign_id)
+        activation.member_payloads(fresh, campaign_id, member_status).write.mode("overwrite").json(f"{out}/members")
+        activation.created_members(fresh, campaign_id, member_status).write.mode("overwrite").json(f"{out}/created_members")
+        activation.push_failures(targets).write.mode("overwrite").json(f"{out}/failures")
+        counts = activation.outcome_counts(targets, directory["members"], campaign_id)
+        ended = instant(datetime.now(timezone.utc))
+        audit = activation.push_audit(counts, run_date, campaign_id, instant(started), ended).first()
+    except Exception as error:
+        record(activation.FAILED, 0, re.sub(BEARER_TOKEN, BEARER_REDACTED, str(error)))
+        raise
     layers.append_row(tuple(audit), "audit", "salesforce_push_runs", schema)
     return audit.status

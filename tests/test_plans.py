@@ -124,3 +124,32 @@ def test_failed_rows_fail_the_push(spark):
     assert (row.status, row.records_processed) == ("FAILED", 2)
     row = activation.push_audit(counts.withColumn("failed_count", F.lit(0)), RUN_DATE, "X", now, now).first()
     assert (row.status, row.records_processed, row.error_message) == ("SUCCESS", 5, None)
+
+
+def test_a_push_creates_missing_people_and_records_a_failure(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path / "layers"))
+    audience = spark.createDataFrame(
+        [("u1", " A@x.co", 3.0), ("u2", "b@x.co", 2.0), ("u3", "b@x.co ", 1.0), ("u4", None, 1.0)], "user_id string, lead_email string, score double"
+    ).selectExpr(
+        f"date '{RUN_DATE}' as run_date", "'CAMP_MOCK_1' as campaign_id", "*", "'s' as segment_name", "'EMAIL_CONSENT' as consent_status",
+        "cast(null as string) as salesforce_contact_id",
+    )
+    audience = audience.withColumn("consent_status", F.lit(activation.EMAIL_CONSENT))
+    directory = {
+        "contacts": spark.createDataFrame([("003", "a@X.co")], "id string, email string"),
+        "leads": spark.createDataFrame([], "id string, email string"),
+        "members": spark.createDataFrame([], "campaign_id string, id_field string, member_id string"),
+    }
+    options = {"dry_run": False, "create_missing": "LeadId", "member_status": "Responded"}
+    nightly.activate(spark, layers, audience, directory, RUN_DATE, "CAMP_MOCK_1", AS_OF, **options)
+    out = f"{layers.path('activation', 'CAMP_MOCK_1')}/run_date={RUN_DATE}"
+    assert [tuple(r) for r in spark.read.json(f"{out}/created_members").select("Email", "IdField", "Status").collect()] == [("b@x.co", "LeadId", "Responded")]
+    assert [r.ContactId for r in spark.read.json(f"{out}/members").collect()] == ["003"]
+    assert {r.Company for r in spark.read.json(f"{out}/people").collect()} == {"Partner Lead"}
+    assert [r.user_id for r in spark.read.json(f"{out}/failures").collect()] == ["u4"]
+    (row,) = layers.read("audit", "salesforce_push_runs").collect()
+    assert (row.status, row.records_processed) == ("FAILED", 2) and row.completed_at >= row.started_at
+    broken = {**directory, "contacts": directory["contacts"].drop("email")}
+    with pytest.raises(Exception, match="email"):
+        nightly.activate(spark, layers, audience, broken, RUN_DATE, "CAMP_OTHER", AS_OF, dry_run=False)
+    assert layers.read("audit", "salesforce_push_runs").where("campaign_id = 'CAMP_OTHER'").first().status == "FAILED"
