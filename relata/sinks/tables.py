@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import date
+from contextlib import suppress
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -168,9 +169,11 @@ class Layers:
 
     def expire(self, layer: str, name: str, as_of: date, days: int) -> list[str]:
         """Drop the ``run_date`` slices that ``expired_slices`` names."""
-        listed = self.spark.createDataFrame([(s,) for s in self.slices(layer, name)], "run_date string")
-        dated = listed.select(F.col("run_date").try_cast("date").alias("run_date"))
-        old = [str(row.run_date) for row in expired_slices(dated, as_of, days).collect()]
+        limit, old = as_of - timedelta(days=days), []
+        for name_of_slice in self.slices(layer, name):
+            with suppress(ValueError):  # a slice without a date stays
+                if date.fromisoformat(name_of_slice) < limit:
+                    old.append(name_of_slice)
         for run_date in old:
             remove_path(self.spark, self.slice_path(layer, name, {"run_date": run_date}))
         return old
@@ -178,20 +181,22 @@ class Layers:
     def archive_slice(self, names: Sequence[str], run_date: object, source: str = "raw", target: str = "archive") -> None:
         """Copy a run date's slice of every table to the archive layer, then drop the originals.
 
-        Nothing is copied unless all slices are there, and an original goes only after its copy was
-        read back with the same number of rows.
+        Nothing is copied unless each table has its slice or, from an interrupted run, its archived copy. Originals go
+        only after all copies were read back with the same number of rows, so a rerun can finish what was begun.
         """
         slices = {name: self.slice_path(source, name, {"run_date": run_date}) for name in names}
-        missing = [name for name, path in slices.items() if not exists(self.spark, path)]
-        if missing:
-            raise SliceError(f"cannot archive {run_date}: missing {', '.join(missing)}")
-        for name, path in slices.items():
-            copy = self.slice_path(target, name, {"run_date": run_date})
-            self.spark.read.parquet(path).write.mode("overwrite").parquet(copy)
-            counts = [self.spark.read.parquet(p).count() for p in (path, copy)]
+        copies = {name: self.slice_path(target, name, {"run_date": run_date}) for name in names}
+        present = [name for name in names if exists(self.spark, slices[name])]
+        missing = [name for name in names if name not in present and not exists(self.spark, f"{copies[name]}/_SUCCESS")]
+        if missing or not present:
+            raise SliceError(f"cannot archive {run_date}: missing {', '.join(missing or names)}")
+        for name in present:
+            self.spark.read.parquet(slices[name]).write.mode("overwrite").parquet(copies[name])
+            counts = [self.spark.read.parquet(path).count() for path in (slices[name], copies[name])]
             if counts[0] != counts[1]:
                 raise SliceError(f"archive of {name} {run_date} has {counts[1]} of {counts[0]} rows")
-            remove_path(self.spark, path)
+        for name in present:
+            remove_path(self.spark, slices[name])
 
 
 def truncate_load(df: DataFrame, path: str) -> None:

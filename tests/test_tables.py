@@ -77,6 +77,26 @@ def test_archive_needs_every_slice_and_moves_all(spark, layers):
     assert layers.read("archive", "x").count() == 1
 
 
+def test_an_interrupted_archive_can_be_run_again(spark, layers, monkeypatch):
+    layers.append(frame(spark, ("a", 1, D1)), "raw", "x")
+    layers.append(frame(spark, ("c", 3, D1)), "raw", "y")
+    real = tables.remove_path
+
+    def breaks_at_y(session, path):
+        if "/y/" in path:
+            raise OSError("gone away")
+        return real(session, path)
+
+    monkeypatch.setattr(tables, "remove_path", breaks_at_y)
+    with pytest.raises(OSError):
+        layers.archive_slice(["x", "y"], D1)
+    assert layers.slices("raw", "x") == [] and layers.slices("raw", "y") == ["2024-02-01"]
+    monkeypatch.setattr(tables, "remove_path", real)
+    layers.archive_slice(["x", "y"], D1)
+    assert layers.slices("raw", "y") == []
+    assert [layers.read("archive", name).count() for name in ("x", "y")] == [1, 1]
+
+
 def test_expire_drops_only_old_slices(spark, layers):
     days = [date(2021, 1, 1), date(2022, 1, 31), date(2022, 2, 1), D1]
     layers.append(frame(spark, *[("a", i, day) for i, day in enumerate(days)]), "raw", "x")
