@@ -43,7 +43,7 @@ def _missing(df: DataFrame, build) -> str | None:
 
 def _bind(expression: str, as_of: datetime) -> str:
     moment = utc(as_of).astimezone(timezone.utc)
-    return expression.replace(":as_of", f"timestamp '{moment:%Y-%m-%dT%H:%M:%S}Z'")
+    return expression.replace(":as_of", f"timestamp '{moment:%Y-%m-%dT%H:%M:%S.%f}Z'")
 
 
 def _row_pass(rule: ScanRule, df: DataFrame, as_of: datetime) -> Column:
