@@ -144,6 +144,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     runs = stored(repeated_runs(docs, key, text), "runs")
     # The row is wrapped, so that its columns may have any names.
     owned = _owned(docs, key, text, F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    # A merge join at any size, so that cost grows with the input and no table of runs is broadcast.
     joined = owned.join(runs.hint("merge"), [owned[name] == runs[name] for name in OWNER], "left").select("row", "runs")
     old = F.col(f"row.`{text}`")
     joined = joined.select(
