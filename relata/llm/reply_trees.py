@@ -17,6 +17,8 @@ id is a tree as any other; further columns are ignored; an empty table gives an
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,25 +71,26 @@ def _messages(trees: DataFrame) -> DataFrame:
 
 def climb(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Score and length of each message's path from its root, and for each k the message 2^k steps up, where there is one."""
-    state = stored(messages.select("tree", "node", F.col("parent").alias("up"), "score", F.lit(1).cast("long").alias("steps")), "climb")
-    most = state.count()
-    levels = []
-    while (1 << len(levels)) < 2 * most:
-        level = state.where("up is not null")
-        if level.isEmpty():
-            break
-        levels.append(level.select("tree", "node", "up"))
-        above = state.select(*[F.col(name).alias(f"above_{name}") for name in ("tree", "node", "up", "score", "steps")])
+    first = stored(messages.select("tree", "node", F.col("parent").alias("up"), "score", F.lit(1).cast("long").alias("steps")), "climb")
+    most, levels = first.count(), []
+    # Messages that have come to their root take no part in further rounds but as what others reach.
+    arrived, active = [first.where("up is null")], first.where("up is not null")
+    while (1 << len(levels)) < 2 * most and not active.isEmpty():
+        levels.append(active.select("tree", "node", "up"))
+        every = reduce(DataFrame.union, [*arrived, active])
+        above = every.select(*[F.col(name).alias(f"above_{name}") for name in ("tree", "node", "up", "score", "steps")])
         meets = F.col("tree").eqNullSafe(F.col("above_tree")) & (F.col("up") == F.col("above_node"))
-        state = state.join(above, meets, "left").select(
+        moved = active.join(above, meets).select(
             "tree",
             "node",
             F.col("above_up").alias("up"),
-            (F.col("score") + F.coalesce("above_score", F.lit(0.0))).alias("score"),
-            (F.col("steps") + F.coalesce("above_steps", F.lit(0))).alias("steps"),
+            (F.col("score") + F.col("above_score")).alias("score"),
+            (F.col("steps") + F.col("above_steps")).alias("steps"),
         )
-        state = stored(state, "climb")
-    return state.where("up is null").drop("up"), levels
+        moved = stored(moved, "climb")
+        arrived.append(moved.where("up is null"))
+        active = moved.where("up is not null")
+    return reduce(DataFrame.union, arrived).drop("up"), levels
 
 
 def branches(trees: DataFrame, best: int = 1) -> DataFrame:
