@@ -342,6 +342,19 @@ query(
     )
 )
 
+_FRESH = (
+    ScanRule("events_fresh", "tableCondition", expression="max(event_ts) >= :as_of - interval 25 hours"),
+    ScanRule("events_recent", "tableCondition", expression="max(to_date(event_ts)) >= date_sub(to_date(:as_of), 7)"),
+)
+query(
+    "l19_scanned_freshness",
+    oracle(
+        f"select 'events-fresh' as rule_name, max(event_ts) >= {_NOW} - interval 25 hours as rule_passed from crm_campaign_events "
+        "union all select 'events-recent', max(cast(event_ts as date)) >= date '2024-01-25' from crm_campaign_events",
+        "crm_campaign_events",
+    ),
+)(lambda m: scans.scan(m.raw("crm_campaign_events"), "events", _FRESH, AS_OF).select("rule_name", "rule_passed"))
+
 
 def _sampled_share(m: Models) -> DataFrame:
     """Whether each rule of a half sample saw about half of the rows: within six deviations."""
