@@ -179,7 +179,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the least key, once if that key repeats."""
-    heads = near_duplicates(docs, key, text).where(F.col("component_id").eqNullSafe(F.col(key))).select(key).distinct()
-    heads = stored(heads.select(F.col(key).alias("_head")), "kept-ids")
-    kept = docs.join(heads, docs[key].eqNullSafe(heads["_head"]), "left_semi")
-    return kept.dropDuplicates([key])
+    number = F.coalesce(F.col(key), F.lit(0).cast(docs.schema[key].dataType)).alias("number")
+    found = near_duplicates(docs, key, text).where(F.col("component_id").eqNullSafe(F.col(key)))
+    heads = stored(found.select(F.col(key).isNull().alias("late"), number).distinct(), "kept-ids")
+    # The row is wrapped, so that its columns may have any names. Texts are shuffled once, for the join and repeated keys.
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), F.col(key).isNull().alias("late"), number)
+    kept = rows.join(heads.hint("merge"), ["late", "number"], "left_semi").dropDuplicates(["late", "number"])
+    return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
