@@ -36,9 +36,9 @@ PLAIN_PATTERN = rf""" ?[{LETTERS}]++| ?[0-9]++|'(?:[stmd]|re|ve|ll)| ?[^\s{LETTE
 ODD_PATTERN = r"[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe]|[^\x00-\u02af]"
 
 #: Words whose encodings a worker keeps between pieces; beyond it starts afresh.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 #: Pairs of tokens whose compatibility a worker keeps.
-KEPT_PAIRS = 500_000
+KEPT_PAIRS = 200_000
 
 NEVER = 1 << 60
 
