@@ -10,7 +10,8 @@ size of its own, in which a breadth-first search gives a spanning forest, never
 ``components``.
 
 Defined results: a null or empty text, or one without words, has fingerprint zero and links as any other; rows with
-one id or with null ids are fingerprinted each for itself, and a group with null ids only has a null component;
+one id or with null ids are fingerprinted each for itself, and a group with null ids only has a null component; of
+each component ``one_per_group`` keeps one row, also where ids are null or several texts have one id;
 further columns are ignored; an empty table gives an empty table.
 """
 
@@ -164,13 +165,18 @@ def near_links(units: DataFrame) -> DataFrame:
     return met.mapInArrow(_links, "a long, b long")
 
 
+def _grouped(units: DataFrame) -> DataFrame:
+    """``units`` (``print``, ``least``) with the ``root`` of their components."""
+    units = stored(units, "units")
+    roots = stored(components(near_links(units)), "roots")
+    rooted = units.join(roots, F.col("print") == F.col("node"), "left")
+    return stored(rooted.select("print", "least", F.coalesce("root", "print").alias("root")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``fingerprint`` (16 hexadecimal digits) and ``component_id``, the least ``key`` of the row's component."""
     prints = stored(fingerprints(docs, key, text), "fingerprints")
-    units = stored(prints.groupBy("print").agg(F.min(key).alias("least")), "units")
-    roots = stored(components(near_links(units)), "roots")
-    rooted = units.join(roots, F.col("print") == F.col("node"), "left")
-    rooted = stored(rooted.select("print", "least", F.coalesce("root", "print").alias("root")), "rooted")
+    rooted = _grouped(prints.groupBy("print").agg(F.min(key).alias("least")))
     heads = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "heads")
     named = stored(rooted.join(heads, "root").select("print", "component_id"), "named")
     found = prints.join(named, "print")
@@ -178,11 +184,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the least key, once if that key repeats."""
+    """The rows of ``docs`` that stay: of each component one, that with the least key (null ids last), then the least hash of
+    its text, then of its other columns."""
+    place = ["late", "number", "text_key"]
     number = F.coalesce(F.col(key), F.lit(0).cast(docs.schema[key].dataType)).alias("number")
-    found = near_duplicates(docs, key, text).where(F.col("component_id").eqNullSafe(F.col(key)))
-    heads = stored(found.select(F.col(key).isNull().alias("late"), number).distinct(), "kept-ids")
-    # The row is wrapped, so that its columns may have any names. Texts are shuffled once, for the join and repeated keys.
-    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), F.col(key).isNull().alias("late"), number)
-    kept = rows.join(heads.hint("merge"), ["late", "number"], "left_semi").dropDuplicates(["late", "number"])
+    owner = [F.col(key).isNull().alias("late"), number, F.xxhash64(text).alias("text_key")]
+    # An id alone does not tell rows apart; equal texts have one fingerprint, so a place lies in one component.
+    owned = docs.select(F.struct(*owner).alias("place"), F.col(text).alias("text"))
+    prints = fingerprints(owned, "place", "text")
+    rooted = _grouped(prints.groupBy("print").agg(F.min("place").alias("least")))
+    heads = stored(rooted.groupBy("root").agg(F.min("least").alias("head")).select("head.*"), "kept-places")
+    # The row is wrapped, so that its columns may have any names. Texts are shuffled once, for the join and repeated places.
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), *owner)
+    others = [F.col(f"row.`{name}`") for name in docs.columns if name not in (key, text)]
+    tie = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    kept = rows.join(heads.hint("merge"), place, "left_semi").groupBy(*place).agg(F.min_by("row", tie).alias("row"))
     return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])

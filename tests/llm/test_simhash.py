@@ -102,3 +102,20 @@ def test_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 7, 8]
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_one_row_stays_of_each_component_with_null_and_repeated_ids(spark):
+    rnd = random.Random(8)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(300)) for _ in range(12)]
+    near = lambda text: text + " " + text.split()[-1]
+    assert all((plain_print(text) ^ plain_print(near(text))).bit_count() <= 3 for text in texts)
+    # Null ids in components of their own; two clean texts under one id; under id 3 the head of a group and a copy of id 1.
+    rows = [(None, text, n) for n, text in enumerate(texts[:5])] + [(None, near(texts[0]), 5), (7, texts[5], 6), (7, texts[6], 7)]
+    rows += [(1, texts[7], 8), (3, texts[8], 9), (3, near(texts[7]), 10), (4, near(texts[8]), 11), (None, near(texts[9]), 12), (9, texts[9], 13)]
+    rows += [(7, texts[5], 14)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    groups = plain_groups(list(range(len(rows))), [plain_print(text) for _, text, _ in rows])
+    found = [sorted(map(tuple, simhash.one_per_group(docs.repartition(parts, "n")).collect()), key=str) for parts in (1, 2, 5)]
+    assert found[0] == found[1] == found[2]
+    assert sorted(groups[n] for _, _, n in found[0]) == sorted(set(groups))
+    assert {n for _, _, n in found[0]} >= {1, 2, 3, 4, 7, 8, 9, 13}
