@@ -1,15 +1,15 @@
-"""Removing runs of lines that occur earlier in the corpus, by winnowing over line hashes. DataFrame functions only.
+"""Removing runs of lines that occur earlier in the corpus, by hashes of word windows. DataFrame functions only.
 
-Lines are cut at newlines and compared without surrounding white space; blank ones do not count. From each line on, the
-lines up to at least ``MIN_WORDS`` words form a window, so whatever repeats over that many words contains a whole window.
-Its minimum, the least line hash (the last on a tie), is its fingerprint, qualified by the digest of the window: a
-minimum alone would meet its first occurrence where only that one line is shared. Fingerprints are joined with their
-first occurrence in order of id and line; a match is extended both ways over equal lines, and what it covers in the
-later place goes, with the blank lines inside.
+Lines are cut at newlines and compared without surrounding white space; blank ones do not count. A line goes if it lies
+in a run of at least ``MIN_WORDS`` words that occurs earlier, anywhere, in order of id and line; blank lines inside go too.
 
-An extension goes over ``MIN_WORDS`` words on each side at most, as what is longer holds windows of its own; each window
-carries the lines in that reach. No pairs of occurrences are formed: every occurrence
-meets the first one only. The joined tables are stored, so that adaptive execution can split an often repeated window.
+From each line on, and up to each line, the least lines of at least ``MIN_WORDS`` words form a window; its fingerprint is
+the digest of all its lines. A window that has occurred before is a repeated run. Together such windows cover each line
+of every repeated run: where the run holds enough words from the line on, the window that starts there lies in it; where
+it holds enough up to the line, the one that ends there does; else the one that starts with the run reaches over the
+line. So one lookup, of the first place of each digest, is exact: it only asks whether there is an earlier one, and no
+partner is chosen, extended or left out. No pairs of occurrences are formed. The joined tables are stored, so that
+adaptive execution can split an often repeated window.
 
 Defined results: a null text stays null and has no lines; a row with the same id and text as another is the same
 document and gets the same result; rows with one id and different texts are ordered by a hash of the text; null ids
@@ -65,48 +65,31 @@ def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def windows(found: DataFrame) -> DataFrame:
-    """The windows of ``lines``: from ``at`` to ``end``, fingerprint at ``chosen``, ``digest``, and the lines around them."""
+    """The windows of ``lines``: from ``at`` to ``end``, and the ``digest`` of their lines."""
     owner = Window.partitionBy(*OWNER)
-    by_start, by_end = owner.orderBy("before"), owner.orderBy("after")
-    around = found.withColumn("after", F.col("before") + F.col("words")).withColumns(
-        {
-            "preceding": F.collect_list("hash").over(by_start.rangeBetween(-MIN_WORDS, -1)),
-            "following": F.collect_list("hash").over(by_end.rangeBetween(1, MIN_WORDS)),
-        }
-    )
-    frame = by_start.rangeBetween(0, MIN_WORDS - 1)
-    return around.select(
-        *OWNER,
-        "at",
-        F.last("at").over(frame).alias("end"),
-        F.sum("words").over(frame).alias("size"),
-        F.xxhash64(F.collect_list("hash").over(frame)).alias("digest"),
-        (-F.min(F.struct("hash", (-F.col("at")).alias("back"))).over(frame)["back"]).alias("chosen"),
-        F.reverse("preceding").alias("preceding"),
-        F.last("following").over(frame).alias("following"),
-    ).where(F.col("size") >= MIN_WORDS)
+    onward = owner.orderBy("before").rangeBetween(0, MIN_WORDS - 1)
+    upward = owner.orderBy("after").rangeBetween(-(MIN_WORDS - 1), 0)
 
+    def window(frame) -> Column:
+        ends = F.first("at").over(frame).alias("at"), F.last("at").over(frame).alias("end")
+        return F.struct(*ends, F.xxhash64(F.collect_list("hash").over(frame)).alias("digest"), F.sum("words").over(frame).alias("size"))
 
-def _common(left: str, right: str) -> Column:
-    """How many elements two arrays share from their beginnings on."""
-    same = F.zip_with(left, right, lambda a, b: F.coalesce(a == b, F.lit(False)))
-    stop = F.array_position(same, False)
-    return F.when(stop == 0, F.size(same).cast("long")).otherwise(stop - 1)
+    both = found.withColumn("after", F.col("before") + F.col("words"))
+    both = both.select(*OWNER, "words", window(onward).alias("onward"), window(upward).alias("upward"))
+    # A window that also starts with its first line needs no row for its end.
+    ends_only = F.when(F.col("upward.size") - F.col("words") >= MIN_WORDS, F.col("upward"))
+    both = both.select(*OWNER, F.explode(F.array("onward", ends_only)).alias("window"))
+    return both.where(F.col("window.size") >= MIN_WORDS).select(*OWNER, "window.at", "window.end", "window.digest")
 
 
 def matches(held: DataFrame) -> DataFrame:
-    """Extended matches of repeated windows with their first occurrence: owner and the line range ``low`` to ``high``."""
+    """The windows that occur earlier: owner and the line range ``low`` to ``high``."""
     held = stored(held, "windows")
-    repeated = stored(held.groupBy("digest").agg(F.count("*").alias("times")).where("times > 1").select("digest"), "repeated")
-    held = stored(held.join(repeated, "digest", "left_semi"), "repeated-windows")
-    place = F.struct(*OWNER, "chosen", "at", "preceding", "following")
-    first = stored(held.groupBy("digest").agg(F.min(place).alias("first")), "first-windows")
-    later = held.join(first, "digest").where(~(F.struct(*OWNER, "chosen", "at") == F.struct(*[F.col(f"first.{name}") for name in (*OWNER, "chosen", "at")])))
-    return later.select(
-        *OWNER,
-        (F.col("at") - _common("preceding", "first.preceding")).alias("low"),
-        (F.col("end") + _common("following", "first.following")).alias("high"),
-    )
+    place = F.struct(*OWNER, "at")
+    first = held.groupBy("digest").agg(F.count("*").alias("times"), F.min(place).alias("first"))
+    first = stored(first.where("times > 1").select("digest", "first"), "first-windows")
+    later = held.join(first, "digest").where(place > F.col("first"))
+    return later.select(*OWNER, F.col("at").alias("low"), F.col("end").alias("high"))
 
 
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

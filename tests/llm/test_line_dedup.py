@@ -84,3 +84,39 @@ def test_rows(spark):
         (5, "short\nshort", 11, "f", 2, 0), (None, "", 0, "c", 1, 1),
     ]
     assert line_dedup.remove_repeats(docs.limit(0)).collect() == []
+
+
+def removed(docs):
+    """For each document, the lines in runs of enough words that occur at any earlier place. ``docs``: lists of lines."""
+    held = [(d, at) for d, doc in enumerate(docs) for at in range(len(doc))]
+    gone = [set() for _ in docs]
+    for place, (d, at) in enumerate(held):
+        for e, begin in held[:place]:
+            size, words = 0, 0
+            while at + size < len(docs[d]) and begin + size < len(docs[e]) and docs[d][at + size] == docs[e][begin + size]:
+                words += len(docs[d][at + size].split())
+                size += 1
+            if words >= MOST:
+                gone[d] |= set(range(at, at + size))
+    return gone
+
+
+def rest_of(spark, docs):
+    frame = spark.createDataFrame([(key, "\n".join(doc)) for key, doc in enumerate(docs)], "doc_id long, text string")
+    return [r.text for r in line_dedup.remove_repeats(frame.repartition(3)).orderBy("doc_id").collect()]
+
+
+def test_runs_that_go_on_differently_where_they_occur_first(spark):
+    a, b, c = (" ".join(f"{name}{i}" for i in range(size)) for name, size in (("a", 45), ("b", 5), ("c", 44)))
+    assert rest_of(spark, [[a, b, "x"], [a, b, c, "y"], [a, b, c, "z"]]) == [f"{a}\n{b}\nx", f"{c}\ny", "z"]
+    rnd = random.Random(4)
+    stock = [" ".join(f"w{rnd.randrange(9)}" for _ in range(rnd.choice([1, 3, 9, 20, 44, 49, 50, 60]))) for _ in range(12)]
+    docs = []
+    for key in range(40):
+        chosen = []
+        while len(chosen) < rnd.randrange(20):
+            at = rnd.randrange(len(stock))
+            chosen += stock[at : at + rnd.randrange(6)] if rnd.random() < 0.8 else [f"fresh {key} {len(chosen)}"]
+        docs.append(chosen)
+    expected = ["\n".join(x for i, x in enumerate(doc) if i not in gone) for doc, gone in zip(docs, removed(docs), strict=True)]
+    assert rest_of(spark, docs) == expected
