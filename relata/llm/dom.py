@@ -1,7 +1,8 @@
 """A tolerant reader of HTML: elements with their parents, and runs of text with their blocks.
 
 It follows the usual rules for void elements, raw text, end tags that are implied, and tags that are never closed. Every
-byte is looked at a bounded number of times. Inline elements without class, id or role are not nodes of their own.
+byte is looked at a bounded number of times. Inline elements, formulas, drawings and their parts without class, id or role
+are not nodes of their own.
 """
 
 from __future__ import annotations
@@ -12,7 +13,16 @@ from dataclasses import dataclass, field
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes svg math select".split())
+RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes".split())
+#: Elements in which a tag that ends in "/>" is complete, and whose parts are no blocks.
+FOREIGN = frozenset(("svg", "math"))
+#: In foreign elements these hold ordinary HTML.
+HTML_AGAIN = frozenset("foreignobject desc annotation-xml".split())
+#: Ordinary elements that end an open foreign element when they start.
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub "
     "sup time tt u var".split()
@@ -81,6 +91,8 @@ def parse(source: str) -> Page:
     # Open elements: tag, and the node their text belongs to.
     stack: list[tuple[str, int]] = [("#root", root)]
     block, links, at, size, quotes = 0, 0, 0, len(source), True
+    # Where foreign elements and those with ordinary HTML in them stand in the stack.
+    turns: list[int] = []
 
     def text(low: int, high: int, escaped: bool = True) -> None:
         if low < high:
@@ -91,6 +103,8 @@ def parse(source: str) -> Page:
         nonlocal links
         links -= sum(tag == "a" for tag, _ in stack[place:])
         del stack[place:]
+        while turns and turns[-1] >= place:
+            turns.pop()
 
     def close(names: set[str] | frozenset[str], scopes: set[str]) -> bool:
         for place in range(len(stack) - 1, 0, -1):
@@ -138,7 +152,12 @@ def parse(source: str) -> Page:
             if not end:
                 break
         at = end
-        if tag not in INLINE and tag not in ("br", "img", "wbr"):
+        foreign = bool(turns) and stack[turns[-1]][0] in FOREIGN
+        if foreign and not closing and tag in ENDS_FOREIGN:
+            while turns and stack[turns[-1]][0] in FOREIGN:
+                pop_to(turns[-1])
+            foreign = False
+        if tag not in INLINE and tag not in ("br", "img", "wbr") and tag not in FOREIGN and not foreign:
             block += 1
         if closing:
             if tag == "br":
@@ -160,18 +179,23 @@ def parse(source: str) -> Page:
         if tag in VOID:
             continue
         given = source[name.end() : end - 1]
-        if tag in RAW:
+        complete = (foreign or tag in FOREIGN) and given.endswith("/")
+        if tag in RAW and not complete:
             over = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(source, end)
             at = over.end() if over else size
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and not foreign:
             close({"p"}, P_SCOPES)
         if tag in ENDS:
             close(*ENDS[tag])
         attributes = attributes_of(given) if "=" in given else {}
         node = stack[-1][1]
-        if tag not in INLINE or attributes:
+        if not (tag in INLINE or tag in FOREIGN or foreign) or attributes:
             node = page.add(tag, node, attributes)
+        if complete:
+            continue
+        if tag in FOREIGN or (foreign and tag in HTML_AGAIN):
+            turns.append(len(stack))
         stack.append((tag, node))
         links += tag == "a"
     return page

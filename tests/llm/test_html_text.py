@@ -96,3 +96,26 @@ def test_rows(spark, trees):
     assert [(r[0], r[1], r[3]) for r in rows] == [(1, "u", 0), (1, "u", 0), (2, "v", 0), (None, None, len("Words of a text, as they are. More of them. ") * 5000 - 1)]
     assert html_text.extract(pages.limit(0), trees).collect() == []
     assert html_text.train(pages.limit(0)) is not None
+
+
+def test_formulas_drawings_and_choices_are_ordinary_elements(spark, trees):
+    def all_of(source):
+        page = dom.parse(source)
+        return html_text.written(page, [True] * len(page.tags))
+
+    assert all_of("<p>a <svg viewBox='0 0 1 1'/>b</p><p>c <math/>d</p><svg><path d=x /><title/></svg>e") == "a b c d e"
+    assert all_of("<p>a<p><select><option>b<p>c</p>") == "a b c"
+    assert all_of("<p>sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> here</p><p>d</p>") == "sum x+1 here d"
+    assert all_of("<svg><foreignObject><div/>a</foreignObject><text>b</text></svg>c<svg><g><p>d<div>e</div>") == "a bc d e"
+    page = dom.parse("<article><svg><g><p>a</p><p>b</p></article>")
+    assert [page.tags[page.parents[n]] for n, tag in enumerate(page.tags) if tag == "p"] == ["article", "article"]
+    for odd in ("<svg>" * 3000, "<svg/" * 3000, "<svg><foreignObject>" * 3000 + "<p>" * 3000, "<math></svg></math>", "<select>" * 3000):
+        dom.parse(odd)
+    source = spark.read.parquet(f"{SMALL}/pages.parquet").orderBy("page_id").first().html
+    for mark in ("<svg class='icon'/>", "<math/>", "<svg><path d='M0 0'/></svg>", "<svg><path d='M0 0'>", "<select>"):
+        marked = re.sub(r"(<article>.*?<p\b[^>]*>)", lambda m: m[1] + mark, source, count=1, flags=re.DOTALL)
+        assert marked != source and text_of(trees, marked) == plain(source), mark
+    word = plain(source).split()[-1]
+    at = source.rindex(word, 0, source.rindex("</article>"))
+    marked = source[:at] + "<math><mi>x</mi></math> " + source[at:]
+    assert text_of(trees, marked) == plain(marked)
