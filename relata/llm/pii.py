@@ -2,11 +2,13 @@
 
 The base spans are what the patterns of e-mail addresses, IP addresses, card and phone numbers match and their checks
 accept. The field labels the *active* tokens of a document, those that hold a digit, ``@`` or ``+``; all others are
-clamped to no label, which cuts the chain exactly. Neighbouring active tokens share chain potentials. Each active token
-also shares skip potentials with the next token, however far, of the same normal form (letters and digits, folded) or
-with the same last seven digits; linking to the next one only keeps the edges linear, and a group stays connected. Loopy
-sum-product message passing, whose messages are damped and of a fixed number, makes labels agree over the document.
-Runs of tokens whose label has at least ``LEAST_SHARE`` of the belief are added where they overlap no base span.
+clamped to no label, which cuts the chain exactly. Neighbouring active tokens share chain potentials. All active tokens of
+one normal form (letters and digits, folded), or with the same last seven digits, are a group, however far apart. Where a
+pattern matched some token of a group, that is known: each other token of it gets the skip potentials with that kind, at
+once and once. Other groups of two share skip potentials, larger ones do so with one node of the group, so any evidence
+reaches all of a group in two rounds and edges stay linear. Loopy sum-product message passing goes on until messages
+change by less than ``TOLERANCE``. Runs of tokens whose label has at least ``LEAST_SHARE`` of the belief are added where
+they overlap no base span.
 
 The field learns from the base spans of at most ``SAMPLE`` documents with active tokens, those with the least hashes of
 their ids, by ascent of the pseudo-likelihood: each token given its neighbours. In that the patterns' own verdicts are
@@ -21,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,10 @@ KINDS = ("email", "ip", "card", "phone")
 #: Documents the field learns from, and active tokens one of them has, at most.
 SAMPLE, SAMPLE_TOKENS = 1500, 400
 ROUNDS, RATE, RIDGE = 200, 0.1, 1e-3
-#: Rounds of message passing, the share of the old message in the new one, and the belief a label needs.
-MESSAGES, DAMPING, LEAST_SHARE = 12, 0.3, 0.9
+#: The change of messages at which their passing ends, the share of the old message in the new one, and the belief a label needs.
+TOLERANCE, DAMPING, LEAST_SHARE = 1e-5, 0.3, 0.9
+#: Messages that have not settled after ``CALM`` rounds are damped more by this factor from round to round, so that they do.
+CALM, CALMER = 50, 0.97
 
 # The patterns of the base, with runs that can be left early cut to linear work.
 EMAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -112,13 +116,15 @@ FAILED, RULED_OUT = 2, -30.0
 
 @dataclass
 class Tokens:
-    """Active tokens of a document: places, features (a row of 0 and 1 each), base labels, and chain and skip edges."""
+    """Active tokens of a document: places, features (a row of 0 and 1 each), base labels, chain edges, skip edges to the
+    next token of a group, and the groups."""
 
     places: list[tuple[int, int]]
     features: np.ndarray
     labels: np.ndarray
     chain: list[tuple[int, int]]
     skip: list[tuple[int, int]]
+    groups: list[list[int]] = field(default_factory=list)
 
 
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
@@ -135,7 +141,8 @@ def read_tokens(text: str, spans: list[Span]) -> Tokens:
     active = [i for i, (a, b) in enumerate(words) if ACTIVE.search(text, a, b)]
     number = len(active)
     features, labels = np.zeros((number, FEATURES), np.uint8), np.zeros(number, np.int64)
-    places, chain, skip, last = [], [], [], {}
+    places, chain, skip = [], [], []
+    groups: dict[str, list[int]] = {}
     by_start = [sorted((a, b) for kind, a, b in spans if kind == k) for k in range(len(KINDS))]
     for i, word in enumerate(active):
         a, b = words[word]
@@ -172,10 +179,13 @@ def read_tokens(text: str, spans: list[Span]) -> Tokens:
         if len(digits) >= 7:
             forms.add(digits[-7:])
         for form in forms:
-            if form in last:
-                skip.append((last[form], i))
-            last[form] = i
-    return Tokens(places, features, labels, chain, sorted(set(skip)))
+            held = groups.setdefault(form, [])
+            if held:
+                skip.append((held[-1], i))
+            held.append(i)
+    # Two forms may have the same tokens; they are one group.
+    distinct = sorted({tuple(held) for held in groups.values() if len(held) > 1})
+    return Tokens(places, features, labels, chain, sorted(set(skip)), list(map(list, distinct)))
 
 
 @dataclass
@@ -189,22 +199,38 @@ class Field:
     def beliefs(self, tokens: Tokens) -> np.ndarray:
         """Each token's label distribution after loopy message passing."""
         scores = tokens.features @ self.weights
-        edges = np.array(tokens.chain + tokens.skip, np.int64).reshape(-1, 2)
+        number, skip, known, stars = len(scores), set(), set(), 0
+        for group in tokens.groups:
+            kinds = {int(tokens.labels[i]) for i in group} - {0}
+            if kinds:
+                known |= {(i, kind) for i in group if not tokens.labels[i] for kind in kinds}
+            elif len(group) == 2:
+                skip.add((group[0], group[1]))
+            else:
+                skip |= {(i, number + stars) for i in group}
+                stars += 1
+        scores = np.concatenate([scores, np.zeros((stars, LABELS))])
+        for i, kind in known:
+            scores[i] += self.skip[kind]
+        edges = np.array(tokens.chain + sorted(skip), np.int64).reshape(-1, 2)
         if len(edges):
-            links = np.concatenate([np.repeat(self.chain[None], len(tokens.chain), 0), np.repeat(self.skip[None], len(tokens.skip), 0)])
+            links = np.concatenate([np.repeat(self.chain[None], len(tokens.chain), 0), np.repeat(self.skip[None], len(skip), 0)])
             source = np.concatenate([edges[:, 0], edges[:, 1]])
             target = np.concatenate([edges[:, 1], edges[:, 0]])
             links = np.concatenate([links, links.transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-            messages = np.zeros((len(source), LABELS))
-            for _ in range(MESSAGES):
+            messages, share, turn, change = np.zeros((len(source), LABELS)), 1 - DAMPING, 0, np.inf
+            while change >= TOLERANCE:
                 total = scores.copy()
                 np.add.at(total, target, messages)
                 sent = _log_sum((total[source] - messages[back])[:, :, None] + links, 1)
                 sent -= _log_sum(sent, 1)[:, None]
-                messages = DAMPING * messages + (1 - DAMPING) * sent
+                step = share * (sent - messages)
+                messages, change, turn = messages + step, np.abs(step).max(), turn + 1
+                share *= CALMER if turn > CALM else 1
             scores = scores.copy()
             np.add.at(scores, target, messages)
+        scores = scores[:number]
         return np.exp(scores - _log_sum(scores, 1)[:, None])
 
 

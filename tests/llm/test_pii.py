@@ -99,3 +99,29 @@ def test_rows(spark):
     rows = sorted(((r.doc_id, r.n_email, r.spans) for r in pii.find(docs, pii.train(docs)).collect()), key=str)
     assert rows == [(1, 0, ""), (1, 1, "email:0:5"), (1, 1, "email:0:5"), (None, 1, "email:2:7")]
     assert pii.find(docs.limit(0), pii.train(docs.limit(0))).collect() == []
+
+
+def test_evidence_reaches_all_of_a_hundred_equal_tokens():
+    field = learnt()
+    texts = ["or (456) 555-2186 in words between" for _ in range(100)]
+    texts[3] = "or +1 (456) 555-2186 in words between"
+    text = " ".join(texts)
+    base = pii.base_spans(text)
+    assert len(base) == 1
+    assert [text[a:b] for _, a, b in pii.added_spans(text, base, field)] == ["(456) 555-2186"] * 99
+    # Without any match, what stands beside one of them reaches the others alike, wherever it is.
+    weights = np.zeros((pii.FEATURES, pii.LABELS))
+    weights[pii.CUE_START + 3, 4] = 6
+    field = pii.Field(weights, np.zeros((pii.LABELS, pii.LABELS)), 3 * np.eye(pii.LABELS))
+    tokens = pii.read_tokens("call 5552186 " + "or 5552186 " * 99, [])
+    beliefs = field.beliefs(tokens)
+    assert (beliefs.argmax(axis=1) == 4).all() and np.allclose(beliefs[1], beliefs[-1], atol=1e-3)
+
+
+def test_messages_settle_on_loops_with_strong_potentials():
+    random = np.random.default_rng(5)
+    tokens = pii.read_tokens(" ".join(random.choice(["12345", "67890", "24680", "x1234"], 200)), [])
+    skip = random.normal(scale=5, size=(pii.LABELS, pii.LABELS))
+    field = pii.Field(random.normal(size=(pii.FEATURES, pii.LABELS)), random.normal(scale=5, size=(pii.LABELS, pii.LABELS)), skip + skip.T)
+    beliefs = field.beliefs(tokens)
+    assert np.isfinite(beliefs).all() and np.allclose(beliefs.sum(axis=1), 1)
