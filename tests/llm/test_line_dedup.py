@@ -6,43 +6,35 @@ from relata.llm.catalog import op9_winnowing
 from tests.conftest import SMALL
 
 MOST = line_dedup.MIN_WORDS
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def removed(docs):
+    """For each document, the lines in runs of enough words that occur at any earlier place. ``docs``: lists of lines."""
+    held = [(d, at) for d, doc in enumerate(docs) for at in range(len(doc))]
+    gone, earlier = [set() for _ in docs], {}
+    for d, at in held:
+        places = earlier.setdefault(docs[d][at], [])
+        for e, begin in places:
+            size, words = 0, 0
+            while at + size < len(docs[d]) and begin + size < len(docs[e]) and docs[d][at + size] == docs[e][begin + size]:
+                words += len(re.split(r"[\x20\x09-\x0D]+", docs[d][at + size]))
+                size += 1
+            if words >= MOST:
+                gone[d] |= set(range(at, at + size))
+        places.append((d, at))
+    return gone
 
 
 def plain(docs):
-    """New texts by comparing every window with all earlier ones. ``docs``: (id, text), ids in order."""
-    cut = []
-    for _, text in docs:
-        pieces = (text or "").split("\n")
-        places = [i for i, x in enumerate(pieces) if x.strip(" \t\n\x0b\x0c\r")]
-        held = [pieces[i].strip(" \t\n\x0b\x0c\r") for i in places]
-        cut.append((pieces, places, held, [len(re.split(r"[\x20\x09-\x0D]+", x)) for x in held]))
-    first, found = {}, []
-    for d, (pieces, places, held, words) in enumerate(cut):
-        gone = set()
-        for at in range(len(held)):
-            end, size = at, words[at]
-            while size < MOST and end + 1 < len(held):
-                end += 1
-                size += words[end]
-            if size < MOST:
-                continue
-            e, begin = first.setdefault(tuple(held[at : end + 1]), (d, at))
-            if (e, begin) == (d, at):
-                continue
-            low, high, shift = at, end, at - begin
-            other = cut[e][2]
-            while low - shift > 0 and held[low - 1] == other[low - 1 - shift] and sum(words[low - 1 : at]) <= MOST:
-                low -= 1
-            while high + 1 < len(held) and high + 1 - shift < len(other) and held[high + 1] == other[high + 1 - shift] and sum(words[end + 1 : high + 2]) <= MOST:
-                high += 1
-            gone |= set(range(low, high + 1))
-        removed = set()
-        for i in gone:
-            removed.add(places[i])
-            if i + 1 in gone:
-                removed |= set(range(places[i], places[i + 1]))
-        text = docs[d][1]
-        found.append(("\n".join(x for i, x in enumerate(pieces) if i not in removed) if gone else text, len(held), len(gone)))
+    """New texts by comparing every run of lines with all earlier places. ``docs``: (id, text), ids in order."""
+    cut = [(text or "").split("\n") for _, text in docs]
+    places = [[i for i, x in enumerate(pieces) if x.strip(WHITE)] for pieces in cut]
+    held = [[pieces[i].strip(WHITE) for i in own] for pieces, own in zip(cut, places, strict=True)]
+    found = []
+    for (_, text), pieces, own, gone in zip(docs, cut, places, removed(held), strict=True):
+        left = {own[i] for i in gone} | {j for i in gone if i + 1 in gone for j in range(own[i], own[i + 1])}
+        found.append(("\n".join(x for i, x in enumerate(pieces) if i not in left) if gone else text, len(own), len(gone)))
     return found
 
 
@@ -86,21 +78,6 @@ def test_rows(spark):
     assert line_dedup.remove_repeats(docs.limit(0)).collect() == []
 
 
-def removed(docs):
-    """For each document, the lines in runs of enough words that occur at any earlier place. ``docs``: lists of lines."""
-    held = [(d, at) for d, doc in enumerate(docs) for at in range(len(doc))]
-    gone = [set() for _ in docs]
-    for place, (d, at) in enumerate(held):
-        for e, begin in held[:place]:
-            size, words = 0, 0
-            while at + size < len(docs[d]) and begin + size < len(docs[e]) and docs[d][at + size] == docs[e][begin + size]:
-                words += len(docs[d][at + size].split())
-                size += 1
-            if words >= MOST:
-                gone[d] |= set(range(at, at + size))
-    return gone
-
-
 def rest_of(spark, docs):
     frame = spark.createDataFrame([(key, "\n".join(doc)) for key, doc in enumerate(docs)], "doc_id long, text string")
     return [r.text for r in line_dedup.remove_repeats(frame.repartition(3)).orderBy("doc_id").collect()]
