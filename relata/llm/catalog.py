@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relata.llm import bpe, decontaminate, html_text, line_dedup, line_labels, nbsvm, pii, reply_trees, simhash, url_filter
+from relata.llm import bpe, decontaminate, html_text, line_dedup, line_labels, merkle, nbsvm, pii, reply_trees, simhash, url_filter
 from relata.llm.catalog_files import tokenizer_file
 from relata.llm.frames import stored, table
 
@@ -76,6 +76,15 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path, with_digests=True)
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, and which rows of a copy without some line ends still lead to its root."""
+    docs = table(spark, folder, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    fields = [F.translate("text", "\n", "") if name == "text" else F.col(name) for name in merkle.FIELDS]
+    found = merkle.manifest(docs, F.when(changed, merkle.leaf(*fields)))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"), "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All documents through the stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, folder)
@@ -93,6 +102,7 @@ QUERIES = {
     "op8_reply_trees": op8_reply_trees,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES = {
@@ -123,5 +133,60 @@ select conv_id, count(*) as n_turns,
   sum(length(replace(replace(replace(who || said, '&', '&amp;'), '<', '&lt;'), '[', '&lb;')) + length('<s>[INST][/INST]</s>'))::bigint
     as formatted_chars
 from rows group by conv_id
+""",
+    "op13_merkle": """
+with recursive docs as (
+  select *, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end) & 1 = 1 changed,
+    row_number() over (partition by source order by doc_id nulls first) - 1 place, count(*) over (partition by source) width,
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') fields
+  from documents
+), leaves as (
+  select doc_id, source, place, width, sha256(fields || coalesce(strlen(text) || ':' || text, '-')) leaf,
+    case when changed then sha256(fields || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+      else sha256(fields || coalesce(strlen(text) || ':' || text, '-')) end checked
+  from docs
+), nodes as (
+  select 0 as level, source, place, width, leaf as digest from leaves
+  union all
+  select any_value(level) + 1, source, place // 3, (any_value(width) + 2) // 3, sha256(string_agg(digest, '' order by place))
+  from nodes where width > 1 group by source, place // 3
+), subroots as (
+  select source, digest, row_number() over (order by source nulls first) - 1 place, count(*) over () width from nodes where width = 1
+), uppers as (
+  select 0 as level, place, width, digest from subroots
+  union all
+  select any_value(level) + 1, place // 3, (any_value(width) + 2) // 3, sha256(string_agg(digest, '' order by place))
+  from uppers where width > 1 group by place // 3
+), steps as (
+  select 0 as upper, n.level, n.source, n.place, coalesce(string_agg(o.digest, '' order by o.place) filter (o.place < n.place), '') l,
+    coalesce(string_agg(o.digest, '' order by o.place) filter (o.place > n.place), '') r
+  from nodes n join nodes o on n.level = o.level and n.source is not distinct from o.source and n.place // 3 = o.place // 3
+  where n.width > 1 group by all
+), upper_steps as (
+  select n.level, n.place, coalesce(string_agg(o.digest, '' order by o.place) filter (o.place < n.place), '') l,
+    coalesce(string_agg(o.digest, '' order by o.place) filter (o.place > n.place), '') r
+  from uppers n join uppers o on n.level = o.level and n.place // 3 = o.place // 3 where n.width > 1 group by all
+), folds as (
+  select source, place leaf_place, 0 as level, place, checked as digest, '' as proof from leaves
+  union all
+  select f.source, f.leaf_place, f.level + 1, f.place // 3, sha256(s.l || f.digest || s.r), f.proof || s.l || s.r
+  from folds f join steps s on s.level = f.level and s.source is not distinct from f.source and s.place = f.place
+), ends as (
+  select f.source, f.leaf_place, s.place, s.digest subroot, f.digest, f.proof
+  from folds f join subroots s on s.source is not distinct from f.source
+  qualify f.level = max(f.level) over (partition by f.source, f.leaf_place)
+), upper_folds as (
+  select source, leaf_place, subroot, 0 as level, place, digest, proof from ends
+  union all
+  select f.source, f.leaf_place, f.subroot, f.level + 1, f.place // 3, sha256(s.l || f.digest || s.r), f.proof || s.l || s.r
+  from upper_folds f join upper_steps s on s.level = f.level and s.place = f.place
+), whole as (
+  select *, (select digest from uppers where width = 1) root from upper_folds
+  qualify level = max(level) over (partition by source, leaf_place)
+)
+select v.doc_id, v.leaf, w.subroot, w.root, sha256(w.proof) proof_sha256, w.digest folded_root, w.digest = w.root verified
+from leaves v join whole w on v.source is not distinct from w.source and v.place = w.leaf_place
 """,
 }
