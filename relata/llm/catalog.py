@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relata.llm import bpe, decontaminate, html_text, line_dedup, line_labels, merkle, nbsvm, pii, reply_trees, simhash, url_filter
+from relata.llm import bpe, decontaminate, divergence, html_text, line_dedup, line_labels, merkle, nbsvm, pii, reply_trees, simhash, url_filter
 from relata.llm.catalog_files import tokenizer_file
 from relata.llm.frames import stored, table
 
@@ -76,6 +76,11 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path, with_digests=True)
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How the sources of each language differ in their terms, over all documents."""
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """The manifest of all documents, and which rows of a copy without some line ends still lead to its root."""
     docs = table(spark, folder, "documents")
@@ -102,6 +107,7 @@ QUERIES = {
     "op8_reply_trees": op8_reply_trees,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
+    "op11_divergence": op11_divergence,
     "op13_merkle": op13_merkle,
 }
 
@@ -133,6 +139,34 @@ select conv_id, count(*) as n_turns,
   sum(length(replace(replace(replace(who || said, '&', '&amp;'), '<', '&lt;'), '[', '&lb;')) + length('<s>[INST][/INST]</s>'))::bigint
     as formatted_chars
 from rows group by conv_id
+""",
+    "op11_divergence": """
+with docs as (
+  select row_number() over () as doc, coalesce(lang, '') lang, coalesce(source, '') source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') words
+  from documents
+), tokens as (select doc, lang, source, unnest(words) term from docs
+), kept as (select lang, term, count(*) n_lang from tokens group by all having count(distinct doc) >= 30
+), langs as (select lang, count(*) v, sum(n_lang) n_all from kept group by lang
+), groups as (select distinct lang, source from docs
+), counts as (select lang, source, term, count(*) c from tokens semi join kept using (lang, term) group by all
+), dense as (
+  select g.lang, g.source, k.term, coalesce(c.c, 0) c, k.n_lang, l.v, l.n_all, sum(coalesce(c.c, 0)) over (partition by g.lang, g.source) n
+  from groups g join kept k using (lang) join langs l using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), rates as (
+  select lang, source, term, c, 1 + 1000000000::hugeint * (c + 5) // (n + 5 * v) p, 1 + 1000000000::hugeint * (n_lang + 5) // (n_all + 5 * v) q from dense
+), pairs as (
+  select a.lang, a.source, b.source item, sum(abs(a.p - b.p)) as value
+  from rates a join rates b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+  union all
+  select a.lang, a.source, b.source, 0 from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  where a.lang not in (select lang from langs)
+), parts as (
+  select lang, source, 'pair' part, item, value from pairs
+  union all select lang, source, 'term', term, p - q from rates where c > 0 and p > q
+), ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as place from parts)
+select lang, source, part, item, value::bigint as value, place::int as rank from ranked where part = 'pair' or place <= 50
 """,
     "op13_merkle": """
 with recursive docs as (
