@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relata.llm import bpe, decontaminate, divergence, html_text, line_dedup, line_labels, merkle, nbsvm, pii, reply_trees, simhash, url_filter
+from relata.llm import bpe, chosen_path, decontaminate, divergence, html_text, line_dedup, line_labels, merkle, nbsvm, pii, reply_trees, simhash, url_filter
 from relata.llm.catalog_files import tokenizer_file
 from relata.llm.frames import stored, table
 
@@ -81,6 +81,11 @@ def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def op12_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near copies of all documents."""
+    return chosen_path.near_copies(table(spark, folder, "documents"))
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """The manifest of all documents, and which rows of a copy without some line ends still lead to its root."""
     docs = table(spark, folder, "documents")
@@ -108,6 +113,7 @@ QUERIES = {
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
     "op11_divergence": op11_divergence,
+    "op12_chosen_path": op12_chosen_path,
     "op13_merkle": op13_merkle,
 }
 
@@ -167,6 +173,25 @@ with docs as (
   union all select lang, source, 'term', term, p - q from rates where c > 0 and p > q
 ), ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as place from parts)
 select lang, source, part, item, value::bigint as value, place::int as rank from ranked where part = 'pair' or place <= 50
+""",
+    "op12_chosen_path": """
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') w from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s
+  from words where len(w) > 0
+), sizes as (select doc_id, count(*) n from shingles group by doc_id
+), shared as (
+  select a.doc_id x, b.doc_id y, count(*) common from shingles a join shingles b using (s) where a.doc_id <> b.doc_id group by all
+), links as (
+  select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * common >= 85 * (p.n + q.n - common)
+), reached as (
+  select doc_id x, doc_id y from documents union select r.x, l.y from reached r join links l on r.y = l.x
+), least as (select x, min(y) as component_id from reached group by x)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from documents left join sizes using (doc_id) join least on x = doc_id
 """,
     "op13_merkle": """
 with recursive docs as (
