@@ -6,9 +6,14 @@ are linked if their sets' Jaccard similarity is at least 0.85; components of lin
 Equal sets are one *unit*. A unit has minwise tokens (the least value of its set under a random function each) and a
 sketch of 128 further minwise values, one byte each. Independent trees branch the units: a root branches by ``BRANCHES``
 of its tokens, and a unit goes to the child of each of its values. Nodes of at most ``NODE`` units are compared
-exhaustively by their sketches; larger ones branch again by sketch values chosen from the node's own hash. A node that is
-still large after ``DEPTH`` branchings (many near copies of one text stay together) is dealt into blocks and compared pair of
-blocks by pair of blocks, so nothing is cut off.
+exhaustively by their sketches. In a larger one all units are first compared with one of them, the pivot, and those close to
+it leave the node, as near copies of one text stay together however often they branch; the others branch again by sketch
+values chosen from the node's own hash. A node that is still large after ``DEPTH`` branchings is dealt into blocks and compared
+pair of blocks by pair of blocks, so nothing is cut off.
+
+Leaving costs no link: sketches that differ in d places make a metric, so whatever is alike to a unit that differs from the
+pivot in at most ``CLOSE`` places differs from the pivot in at most ``CLOSE + SKETCH - AGREE``, and all such units are joined
+with the pivot as candidates.
 
 Recall: a pair at the threshold keeps a token with probability 0.85, so it meets nowhere with 0.15^8, about 3e-7, and its
 sketches agree in fewer than ``AGREE`` places with 2e-8. What meets and agrees is only a candidate: candidates' components
@@ -38,10 +43,12 @@ SHINGLE = 5
 PERCENT = 85
 TREES, BRANCHES, DEPTH = 4, 2, 4
 #: Units of a node that are compared exhaustively; a larger node branches, or is dealt into blocks of about this size.
-NODE = 1024
+NODE = 512
 SKETCH = 128
 #: Places in which the sketches of a candidate agree.
 AGREE = 84
+#: Places in which a unit that leaves with a pivot differs from it, at most.
+CLOSE = 28
 #: Shingles of the units that a block of a family holds, about: 8 bytes each in a task.
 BLOCK_SHINGLES = 1 << 20
 
@@ -182,28 +189,58 @@ def _dealt(members: DataFrame, group: str, unit: str, blocks: Column) -> DataFra
     return members.withColumn("pair", pair).drop("blocks", "own", "other")
 
 
+def _from_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many places the sketches of columns 0 and 1 differ, with the other columns."""
+    for batch in batches:
+        own, pivots = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH) for i in range(2))
+        apart = (own != pivots).sum(axis=1).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(apart)], names=["sketch", *batch.schema.names[2:], "apart"])
+
+
+def _compared(members: DataFrame) -> DataFrame:
+    """Candidate edges within each (node, pair) of ``members``."""
+    members = members.select("node", "pair", "unit", "n", "sketch")
+    return members.repartition("node", "pair").sortWithinPartitions("node", "pair").mapInArrow(_candidates, "a long, b long")
+
+
+def _by_size(members: DataFrame, node: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes of 2 to ``node`` members, and the larger ones, with the number ``held``."""
+    held = members.groupBy("node").agg(F.count("*").alias("held"))
+    held = stored(held.where("held > 1"), "nodes")
+    return held.where(F.col("held") <= node), held.where(F.col("held") > node)
+
+
 def candidates(units: DataFrame, node: int = NODE, depth: int = DEPTH) -> DataFrame:
     """Edges (a, b) between units (``unit``, ``n``, ``tokens``, ``sketch``) that connect all that meet in a node and look alike."""
+    columns = ["node", "unit", "n", "sketch"]
+    alone = F.lit(0).cast("long").alias("pair")
     roots = units.select("unit", "n", "sketch", F.posexplode("tokens").alias("place", "token"))
     members = roots.select(F.xxhash64("place", "token").alias("node"), "unit", "n", "sketch")
-    found = None
-    for level in range(depth + 1):
-        held = members.groupBy("node").agg(F.count("*").alias("held"))
-        held = stored(held.where("held > 1"), "nodes")
-        last = level == depth
-        met = members.join(held if last else held.where(F.col("held") <= node), "node")
-        met = _dealt(met, "node", "unit", F.ceil(F.col("held") / F.lit(node)))
-        met = met.select("node", "pair", "unit", "n", "sketch").repartition("node", "pair").sortWithinPartitions("node", "pair")
-        edges = met.mapInArrow(_candidates, "a long, b long")
-        found = edges if found is None else found.union(edges)
-        large = held.where(F.col("held") > node)
-        if last or large.isEmpty():
+    small, large = _by_size(members, node)
+    found = _compared(members.join(small, "node", "left_semi").select("*", alone))
+    for _ in range(depth):
+        if large.isEmpty():
             return found
+        members = stored(members.join(large, "node", "left_semi").select(columns), "members")
+        pivots = members.groupBy("node").agg(F.min(F.struct(F.xxhash64("node", "unit").alias("turn"), "unit", "sketch")).alias("pivot"))
+        pivots = stored(pivots.select("node", F.col("pivot.unit").alias("pivot"), F.col("pivot.sketch").alias("center")), "pivots")
+        near = members.join(pivots, "node").select("sketch", "center", "node", "unit", "n", "pivot")
+        near = near.mapInArrow(_from_pivots, "sketch binary, node long, unit long, n long, pivot long, apart long")
+        near = stored(near, "from-pivots")
+        found = found.union(near.where(F.col("apart") <= CLOSE + SKETCH - AGREE).select("unit", "pivot"))
+        members = near.where(F.col("apart") > CLOSE).select(columns)
+        small, large = _by_size(members, node)
+        found = found.union(_compared(members.join(small, "node", "left_semi").select("*", alone)))
         branch = F.explode(F.sequence(F.lit(0), F.lit(BRANCHES - 1))).alias("branch")
-        large = members.join(large.select("node"), "node").select("node", "unit", "n", "sketch", branch)
+        members = members.join(large, "node", "left_semi").select(*columns, branch)
         place = F.pmod(F.xxhash64("node", "branch"), F.lit(SKETCH)).cast("int")
         value = F.substring("sketch", place + 1, F.lit(1))
-        members = stored(large.select(F.xxhash64("node", "branch", value).alias("node"), "unit", "n", "sketch"), "branches")
+        members = stored(members.select(F.xxhash64("node", "branch", value).alias("node"), "unit", "n", "sketch"), "branches")
+        small, large = _by_size(members, node)
+        found = found.union(_compared(members.join(small, "node", "left_semi").select("*", alone)))
+    if large.isEmpty():
+        return found
+    return found.union(_compared(_dealt(members.join(large, "node"), "node", "unit", F.ceil(F.col("held") / F.lit(node)))))
 
 
 def confirmed(members: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -271,7 +308,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     heads = stored(familied.join(sizes, "family").select("unit", "family", "parts", "head.*"), "members")
     number = F.coalesce(F.col(key), F.lit(0).cast(docs.schema[key].dataType)).alias("number")
     texts = docs.select(F.col(key).isNull().alias("late"), number, F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    texts = _dealt(texts.join(heads, ["late", "number", "text_key"]), "family", "unit", F.col("parts"))
+    # A merge join at any size, so that the plan for small and for large inputs is one.
+    texts = _dealt(texts.join(heads.hint("merge"), ["late", "number", "text_key"]), "family", "unit", F.col("parts"))
     texts = texts.select("family", "pair", "unit", "text").repartition("family", "pair").sortWithinPartitions("family", "pair")
     links = stored(texts.mapInArrow(_links, "a long, b long").where("a != b"), "links")
 

@@ -82,7 +82,7 @@ def units(spark, texts):
 
 def test_large_nodes_branch_and_are_dealt_into_blocks(spark):
     rnd = random.Random(10)
-    passage = " ".join(f"p{i}" for i in range(60))
+    passage = " ".join(f"p{i}" for i in range(40))
     # Near copies stay together at every branching; texts that share a passage only are drawn apart.
     texts = list(dict.fromkeys(near_texts(rnd, 1, 60, 2))) + [f"{passage} " + " ".join(f"y{rnd.randrange(10**6)}" for _ in range(60)) for _ in range(80)]
     sets = [shingles(text) for text in texts]
