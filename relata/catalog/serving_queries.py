@@ -45,13 +45,22 @@ SALES, LEADS = CONTRACTS["crm_sales"], CONTRACTS["crm_new_partner_leads"]
 
 def _written_csv(m: Models, name: str, contract, columns: list[str] | None = None) -> str:
     """The text rows as CSV files named by the contract's pattern, below a fresh folder."""
+    return _written_rows(m, m.raw(name).select(*(columns or contract.names)), contract)
+
+
+def _written_rows(m: Models, rows: DataFrame, contract: Contract) -> str:
     path = scratch_path(m.spark, "csv")
-    rows = m.raw(name).select(*(columns or contract.names))
     options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     rows.write.options(**options).csv(f"{path}/{contract.source_type}_all.csv")
     return path
 
 
+def _broken_over_lines(m: Models) -> DataFrame:
+    """The text sales with line ends, quotes and delimiters in a field of every row."""
+    region = F.concat(F.lit('"'), "deal_stage", F.lit('",\n"'), "owner_region", F.lit('\n\n,"'))
+    return m.raw("text_sales").withColumn("owner_region", region).select(*SALES.names)
+
+
 def _part_files(contract: Contract) -> Contract:
     """The contract with a pattern that matches the part files Spark writes."""
     return replace(contract, file_pattern=f"{contract.source_type}_all.csv/part-*.csv")
@@ -76,6 +85,11 @@ query(
         _part_files(SALES),
     ).select(*SALES.names)
 )
+_BROKEN = "'\"' || deal_stage || '\",' || chr(10) || '\"' || owner_region || chr(10) || chr(10) || ',\"' as owner_region"
+query(
+    "a1_csv_quoted_newlines",
+    oracle(f"select {_empty_as_null(*SALES.names[:-1])}, {_BROKEN} from text_sales", "text_sales"),
+)(lambda m: csv_files.read_crm_csv(m.spark, _written_rows(m, _broken_over_lines(m), SALES), _part_files(SALES)).select(*SALES.names))
 query(
     "a2_file_match",
     oracle("select count(*) as records, count(distinct owner_region) as regions from text_sales", "text_sales"),
@@ -200,8 +214,8 @@ def _rejected(m: Models) -> DataFrame:
         *LEADS.names,
         raw_row.alias(validation.RAW_ROW),
         F.lit("é.csv").alias(validation.FILE),
-        F.lit(0).cast("bigint").alias(validation.BLOCK),
-        F.monotonically_increasing_id().alias(validation.ORDINAL),
+        F.monotonically_increasing_id().alias(validation.NUMBER),
+        F.lit(0).cast("bigint").alias(validation.OFFSET),
     )
     checked = validation.validated(scanned, LEADS)
     return validation.rejected_rows(checked, LEADS, RUN_DATE, as_of(), with_row_number=False)
@@ -329,13 +343,12 @@ query("b12_rerun_safe_load", oracle(f"select {_SALES_META} from raw_sales where
 
 def _record_numbers(m: Models) -> DataFrame:
     """Record numbers of every row of every file, reduced to what must hold for each file."""
-    scanned = csv_files.read_crm_csv(m.spark, _written_csv(m, "text_sales", SALES), _part_files(SALES), multi_line=False)
-    numbered = validation.numbered(scanned, scanned)
-    files = numbered.groupBy(validation.FILE).agg(
-        F.min("row_number").alias("low"),
-        F.max("row_number").alias("high"),
+    scanned = csv_files.read_crm_csv(m.spark, _written_rows(m, _broken_over_lines(m), SALES), _part_files(SALES))
+    files = scanned.groupBy(validation.FILE).agg(
+        F.min(validation.NUMBER).alias("low"),
+        F.max(validation.NUMBER).alias("high"),
         F.count(F.lit(1)).alias("records"),
-        F.count_distinct("row_number").alias("numbers"),
+        F.count_distinct(validation.NUMBER).alias("numbers"),
     )
     good = (F.col("low") == 2) & (F.col("high") == F.col("records") + 1) & (F.col("numbers") == F.col("records"))
     return files.agg(F.bool_and(good).alias("numbered_without_gap"), F.sum("records").alias("records"))

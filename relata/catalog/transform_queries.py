@@ -10,7 +10,7 @@ from relata.catalog.oracles import AMOUNT, PIECES, doubles, oracle, rounded, tex
 from relata.catalog.portable import portable
 from relata.functions import casting, records, text
 from relata.operators import aggregates, audience, curated, dedupe, joins, paging, staging, validation
-from relata.operators.validation import ACCEPTED, BLOCK, FILE, ORDINAL, RAW_ROW
+from relata.operators.validation import ACCEPTED, FILE, NUMBER, OFFSET, RAW_ROW
 from relata.sources.contracts import CONTRACTS
 
 QUERIES: dict = {}
@@ -40,8 +40,8 @@ def _scanned(m: Models, name: str, contract) -> DataFrame:
         *contract.names,
         raw_row.alias(RAW_ROW),
         F.lit("crm.csv").alias(FILE),
-        F.lit(0).cast("bigint").alias(BLOCK),
-        F.monotonically_increasing_id().alias(ORDINAL),
+        F.monotonically_increasing_id().alias(NUMBER),
+        F.lit(0).cast("bigint").alias(OFFSET),
     )
 
 

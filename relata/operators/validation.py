@@ -6,13 +6,13 @@ typed values are built for accepted rows alone and error texts for rejected rows
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from relata.functions.casting import CONTRACT_CASTS
 from relata.sources.contracts import Contract, ContractColumn
 
 ACCEPTED = "_accepted"
-FILE, BLOCK, ORDINAL, RAW_ROW = "_file", "_block", "_ordinal", "_raw_row"
+FILE, NUMBER, OFFSET, RAW_ROW = "_file", "_number", "_offset", "_raw_row"
 
 
 def _absent(name: str) -> Column:
@@ -80,27 +80,6 @@ def enriched(rows: DataFrame, source_type: str, run_date: str, loaded_at: Column
     )
 
 
-def numbered(rejected: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Record number within the file, counting records and the header: the first data row is 2.
-
-    A file is read in blocks. Each block's size and first ordinal come from one pre-aggregated pass
-    over two columns; the running offset is taken over blocks, never over rows, so one huge file
-    does not end up in one task. ``scanned`` must be the persisted scan ``rejected`` came from.
-    """
-    blocks = scanned.groupBy(FILE, BLOCK).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(ORDINAL).alias("_first")
-    )
-    earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        FILE, BLOCK, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-    )
-    return (
-        rejected.join(offsets, [FILE, BLOCK])
-        .withColumn("row_number", F.col("_before") + F.col(ORDINAL) - F.col("_first") + 2)
-        .drop("_before", "_first")
-    )
-
-
 def rejected_rows(
     checked: DataFrame,
     contract: Contract,
@@ -108,14 +87,16 @@ def rejected_rows(
     rejected_at: Column | None = None,
     with_row_number: bool = True,
 ) -> DataFrame:
-    """Evidence of the rejected rows: where each came from, the raw row, and all its errors."""
-    rows = checked.where(~F.col(ACCEPTED))
-    rows = numbered(rows, checked) if with_row_number else rows.withColumn("row_number", F.lit(None).cast("bigint"))
-    return rows.select(
+    """Evidence of the rejected rows: where each came from, the raw row, and all its errors.
+
+    The number counts the records of the file and its header, as the scan numbers them: the first data row is 2.
+    """
+    number = F.col(NUMBER) if with_row_number else F.lit(None)
+    return checked.where(~F.col(ACCEPTED)).select(
         F.lit(run_date).cast("date").alias("run_date"),
         F.lit(contract.source_type).alias("source_type"),
         F.col(FILE).alias("source_file"),
-        F.col("row_number").cast("bigint").alias("row_number"),
+        number.cast("bigint").alias("row_number"),
         F.col(RAW_ROW).alias("raw_row"),
         row_errors(contract).alias("error_reasons"),
         (F.current_timestamp() if rejected_at is None else rejected_at).alias("rejected_ts"),

@@ -30,26 +30,6 @@ def matching_files(spark: SparkSession, glob: str) -> list[str]:
     return sorted(status.getPath().toString() for status in (found or []) if status.isFile())
 
 
-def first_record(spark: SparkSession, path: str, quote: str | None = None) -> str:
-    """The first CSV record of a file, without reading further.
-
-    It is the first line, and with ``quote`` as many more as it takes until the quotes in it are even, so that a quoted
-    value may hold newlines.
-    """
-    stream = file_system(spark, path).open(_path(spark, path))
-    try:
-        reader = spark._jvm.java.io.BufferedReader(
-            spark._jvm.java.io.InputStreamReader(stream, "UTF-8"), 8192
-        )
-        record = line = reader.readLine()
-        while quote and line is not None and record.count(quote) % 2:
-            line = reader.readLine()
-            record += "\n" + (line or "")
-    finally:
-        stream.close()
-    return record or ""
-
-
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Drop one partition folder or version folder of a table."""
     return bool(file_system(spark, path).delete(_path(spark, path), True))

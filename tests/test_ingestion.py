@@ -90,21 +90,6 @@ def test_reject_limit_stops_after_the_evidence(spark, folder, tmp_path_factory):
     assert spark.read.text(layers.path("rejected", "leads") + "/part").count() == 3
 
 
-def test_record_numbers_over_many_blocks(spark, tmp_path):
-    lines = ["external_lead_id,email"] + [f"L{i},x{i}@b.co" for i in range(20000)]
-    (tmp_path / "crm_new_partner_leads_big.csv").write_text("\n".join(lines) + "\n")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        scanned = csv_files.read_crm_csv(spark, str(tmp_path), LEADS, multi_line=False).persist()
-        assert scanned.select(validation.BLOCK).distinct().count() > 5
-        numbered = validation.numbered(scanned, scanned)
-        wrong = numbered.where(F.col("row_number") != F.substring("external_lead_id", 2, 9).cast("bigint") + 2)
-        assert numbered.count() == 20000 and wrong.count() == 0
-        scanned.unpersist()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
 def test_contract_errors(spark, tmp_path):
     document = {"source_type": "a", "file_pattern": "a_*.csv", "columns": [{"name": "x", "type": "STRING", "required": True}]}
     path = tmp_path / "contract.json"
