@@ -5,12 +5,12 @@ Two kinds of table live below ``root/<layer>/<name>``:
 * *versioned* (``v=<n>`` folders): replaced as a whole. A new version is written beside the old one
   and is current once its job's success marker exists, so readers never see a half-written table
   and a table may be computed from itself.
-* *sliced* (``<column>=<value>`` folders): appended to, or replaced slice by slice.
+* *sliced* (``<column>=<value>`` folders): appended to, or replaced slice by slice. Every write has folders of its own
+  below its slices, and a numbered manifest (``commits``) says which of them are current.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import suppress
 from datetime import date, timedelta
@@ -18,7 +18,8 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from relata.functions.records import sorted_json
-from relata.sources.files import child_names, exists, move_path, remove_path
+from relata.sinks.commits import WRITE, CommitLog
+from relata.sources.files import child_names, exists, remove_path
 
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -105,57 +106,72 @@ class Layers:
         base = f"{self.path(layer, name)}/_schema"
         return self.spark.read.parquet(base).schema if exists(self.spark, base) else None
 
-    def read(self, layer: str, name: str) -> DataFrame:
-        """All slices. A declared schema gives the column types; else they come from the files."""
+    def log(self, layer: str, name: str) -> CommitLog:
+        return CommitLog(self.spark, self.path(layer, name))
+
+    def read(self, layer: str, name: str, under: str = "") -> DataFrame:
+        """All current slices, or those at or below one. A declared schema gives the column types; else they come from the files."""
         base, schema = self.path(layer, name), self.declared(layer, name)
-        if schema is None:
-            return self.spark.read.option("basePath", base).parquet(base)
-        if not [child for child in child_names(self.spark, base) if not child.startswith("_")]:
+        folders = [f"{base}/{folder}" for folder in self.log(layer, name).state().folders(under)]
+        if not folders:
+            if schema is None:
+                raise FileNotFoundError(f"no slice of {layer}.{name}")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", base).parquet(base).select(*schema.names)
+        reader = self.spark.read.option("basePath", base)
+        if schema is None:
+            return reader.parquet(*folders).drop(WRITE)
+        return reader.schema(schema).parquet(*folders).select(*schema.names)
+
+    def _write(self, df: DataFrame, layer: str, name: str, partition: Sequence[str], cluster: Sequence[str]) -> dict[str, str]:
+        """Write rows into fresh folders, which nobody reads before a commit; the folders by slice."""
+        log = self.log(layer, name)
+        write = log.new_write()
+        rows = clustered(df, partition, [name for name in cluster if name not in partition]) if cluster else df
+        rows.write.partitionBy(*partition).parquet(log.write_path(write))
+        return log.written(write, len(partition))
 
     def append(
         self, df: DataFrame, layer: str, name: str, partition: Sequence[str] = ("run_date",), cluster: Sequence[str] = ()
     ) -> None:
-        rows = clustered(df, partition, cluster) if cluster else df
-        rows.write.mode("append").partitionBy(*partition).parquet(self.path(layer, name))
+        self.log(layer, name).add(self._write(df, layer, name, partition, cluster))
 
     def append_row(self, row: tuple, layer: str, name: str, schema: str) -> None:
         """Insert one audit row, creating the table if needed."""
         self.ensure(layer, name, schema)
         self.append(self.spark.createDataFrame([row], schema).coalesce(1), layer, name)
 
-    def slice_path(self, layer: str, name: str, values: Mapping[str, object]) -> str:
-        parts = [
-            f"{column}={DEFAULT_PARTITION if value is None else escaped(str(value))}" for column, value in values.items()
-        ]
-        return "/".join([self.path(layer, name), *parts])
+    @staticmethod
+    def slice_name(values: Mapping[str, object]) -> str:
+        """A slice's path below its table, spelled as Spark does."""
+        return "/".join(f"{column}={DEFAULT_PARTITION if value is None else escaped(str(value))}" for column, value in values.items())
 
-    def replace_slice(
-        self, df: DataFrame, layer: str, name: str, values: Mapping[str, object], cluster: Sequence[str] = ()
+    def replace_slices(
+        self, df: DataFrame, layer: str, name: str, slices: Sequence[Mapping[str, object]], cluster: Sequence[str] = ()
     ) -> None:
-        """Delete the named slice and put the rows of ``df`` in its place, also when there are none.
+        """Put the rows of ``df`` that belong to the named slices in their place, all at once; a slice without rows is emptied.
 
-        The new rows are written beside the table first, so a failed write leaves the old slice.
+        The rows are written once, into folders of their own, and become current by one commit. A reader finds all
+        of the old slices or all of the new ones, also when the write stops anywhere. Of two writers the later commit stays.
         """
-        columns = list(values)
-        staged = f"{self.path(layer, name)}/_staged-{uuid.uuid4().hex}"
-        wanted = df
-        for column, value in values.items():
-            wanted = wanted.where(F.col(column).eqNullSafe(F.lit(value).cast(df.schema[column].dataType)))
-        rows = wanted.drop(*columns)
-        if cluster:
-            rows = clustered(rows, (), [name for name in cluster if name not in columns])
-        rows.write.mode("overwrite").parquet(staged)
-        target = self.slice_path(layer, name, values)
-        if exists(self.spark, target):
-            remove_path(self.spark, target)
-        move_path(self.spark, staged, target)
+        columns = list(slices[0])
+        wanted = F.lit(False)
+        for values in slices:
+            same = F.lit(True)
+            for column, value in values.items():
+                same = same & F.col(column).eqNullSafe(F.lit(value).cast(df.schema[column].dataType))
+            wanted = wanted | same
+        folders = self._write(df.where(wanted), layer, name, columns, cluster)
+        self.log(layer, name).swap([self.slice_name(values) for values in slices], folders)
+
+    def replace_slice(
+        self, df: DataFrame, layer: str, name: str, values: Mapping[str, object], cluster: Sequence[str] = ()
+    ) -> None:
+        """Replace one slice, also by none of the rows."""
+        self.replace_slices(df, layer, name, [values], cluster)
 
     def replace_checks(self, df: DataFrame, layer: str, name: str, run_date: object, checks: Sequence[str]) -> None:
         """Replace the rows of named checks of one run date; other checks of that day stay."""
-        for check in checks:
-            self.replace_slice(df, layer, name, {"run_date": run_date, "check_name": check})
+        self.replace_slices(df, layer, name, [{"run_date": run_date, "check_name": check} for check in checks])
 
     def load_run(
         self, df: DataFrame, layer: str, name: str, run_date: object, source_type: str, cluster: Sequence[str] = ()
@@ -164,18 +180,20 @@ class Layers:
         self.replace_slice(df, layer, name, {"run_date": run_date, "source_type": source_type}, cluster)
 
     def slices(self, layer: str, name: str, column: str = "run_date") -> list[str]:
+        """The values of the first slice column."""
         prefix = f"{column}="
-        return [child[len(prefix) :] for child in child_names(self.spark, self.path(layer, name)) if child.startswith(prefix)]
+        found = {held.split("/")[0] for held in self.log(layer, name).state().current}
+        return sorted(part[len(prefix) :] for part in found if part.startswith(prefix))
 
     def expire(self, layer: str, name: str, as_of: date, days: int) -> list[str]:
-        """Drop the ``run_date`` slices that ``expired_slices`` names."""
+        """Drop the ``run_date`` slices that ``expired_slices`` names, and their files."""
         limit, old = as_of - timedelta(days=days), []
         for name_of_slice in self.slices(layer, name):
             with suppress(ValueError):  # a slice without a date stays
                 if date.fromisoformat(name_of_slice) < limit:
                     old.append(name_of_slice)
-        for run_date in old:
-            remove_path(self.spark, self.slice_path(layer, name, {"run_date": run_date}))
+        if old:
+            self.log(layer, name).drop([self.slice_name({"run_date": run_date}) for run_date in old])
         return old
 
     def archive_slice(self, names: Sequence[str], run_date: object, source: str = "raw", target: str = "archive") -> None:
@@ -184,19 +202,19 @@ class Layers:
         Nothing is copied unless each table has its slice or, from an interrupted run, its archived copy. Originals go
         only after all copies were read back with the same number of rows, so a rerun can finish what was begun.
         """
-        slices = {name: self.slice_path(source, name, {"run_date": run_date}) for name in names}
-        copies = {name: self.slice_path(target, name, {"run_date": run_date}) for name in names}
-        present = [name for name in names if exists(self.spark, slices[name])]
-        missing = [name for name in names if name not in present and not exists(self.spark, f"{copies[name]}/_SUCCESS")]
+        under = self.slice_name({"run_date": run_date})
+        held = {layer: {name: bool(self.log(layer, name).state().folders(under)) for name in names} for layer in (source, target)}
+        present = [name for name in names if held[source][name]]
+        missing = [name for name in names if not held[source][name] and not held[target][name]]
         if missing or not present:
             raise SliceError(f"cannot archive {run_date}: missing {', '.join(missing or names)}")
         for name in present:
-            self.spark.read.parquet(slices[name]).write.mode("overwrite").parquet(copies[name])
-            counts = [self.spark.read.parquet(path).count() for path in (slices[name], copies[name])]
+            self.replace_slice(self.read(source, name, under), target, name, {"run_date": run_date})
+            counts = [self.read(layer, name, under).count() for layer in (source, target)]
             if counts[0] != counts[1]:
                 raise SliceError(f"archive of {name} {run_date} has {counts[1]} of {counts[0]} rows")
         for name in present:
-            remove_path(self.spark, slices[name])
+            self.log(source, name).drop([under])
 
 
 def truncate_load(df: DataFrame, path: str) -> None:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from fnmatch import fnmatch
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,11 +37,55 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(file_system(spark, path).delete(_path(spark, path), True))
 
 
-def move_path(spark: SparkSession, source: str, target: str) -> None:
-    system = file_system(spark, target)
-    system.mkdirs(_path(spark, target).getParent())
-    if not system.rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"could not move {source} to {target}")
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    stream = file_system(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, replaced if it is there."""
+    stream = file_system(spark, path).create(_path(spark, path), True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file unless ``target`` is there, by the file system's own atomic rename; was it renamed?"""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(_path(spark, target).toUri(), spark._jsc.hadoopConfiguration())
+    options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(_path(spark, source), _path(spark, target), options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
+def folders_named(spark: SparkSession, base: str, pattern: str) -> list[str]:
+    """Folders below ``base`` that match a pattern of names, relative to it."""
+    system = file_system(spark, base)
+    found = system.globStatus(_path(spark, f"{base}/{pattern}"))
+    levels = pattern.count("/") + 1
+    return sorted("/".join(status.getPath().toString().rsplit("/", levels)[1:]) for status in found or [] if status.isDirectory())
+
+
+def modified_at(spark: SparkSession, path: str) -> float:
+    """When a file or folder was last modified, in seconds; it may have gone."""
+    if not exists(spark, path):
+        return now_at()
+    return file_system(spark, path).getFileStatus(_path(spark, path)).getModificationTime() / 1000
+
+
+def now_at() -> float:
+    return time.time()
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -5,7 +5,8 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from relata.sinks import tables
+from relata.sinks import commits, tables
+from relata.sinks.commits import CommitLog
 from relata.sinks.tables import Layers, SliceError
 
 
@@ -80,18 +81,18 @@ def test_archive_needs_every_slice_and_moves_all(spark, layers):
 def test_an_interrupted_archive_can_be_run_again(spark, layers, monkeypatch):
     layers.append(frame(spark, ("a", 1, D1)), "raw", "x")
     layers.append(frame(spark, ("c", 3, D1)), "raw", "y")
-    real = tables.remove_path
+    real = CommitLog.drop
 
-    def breaks_at_y(session, path):
-        if "/y/" in path:
+    def breaks_at_y(log, slices):
+        if log.base.endswith("/y"):
             raise OSError("gone away")
-        return real(session, path)
+        return real(log, slices)
 
-    monkeypatch.setattr(tables, "remove_path", breaks_at_y)
+    monkeypatch.setattr(CommitLog, "drop", breaks_at_y)
     with pytest.raises(OSError):
         layers.archive_slice(["x", "y"], D1)
     assert layers.slices("raw", "x") == [] and layers.slices("raw", "y") == ["2024-02-01"]
-    monkeypatch.setattr(tables, "remove_path", real)
+    monkeypatch.setattr(CommitLog, "drop", real)
     layers.archive_slice(["x", "y"], D1)
     assert layers.slices("raw", "y") == []
     assert [layers.read("archive", name).count() for name in ("x", "y")] == [1, 1]
@@ -118,3 +119,95 @@ def test_clustered_splits_a_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(sizes) == 40000 and max(sizes) < 15000
+
+
+def keys(df):
+    return sorted(row.k for row in df.collect())
+
+
+STEPS = ("new_write", "written", "write_text", "publish", "_drop")
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("late", [False, True])
+def test_a_write_that_stops_anywhere_leaves_a_whole_slice(spark, layers, monkeypatch, step, late):
+    layers.append(frame(spark, ("old1", 1, D1), ("old2", 2, D1), ("other", 3, D2)), "raw", "t")
+    layers.replace_slice(frame(spark, ("old1", 1, D1), ("old2", 2, D1)), "raw", "t", {"run_date": D1})
+    before = layers.read("raw", "t")
+    holder = commits if step in ("write_text", "publish") else CommitLog
+    real = getattr(holder, step)
+
+    def stops(*given):
+        if late:
+            real(*given)
+        raise OSError("stopped")
+
+    monkeypatch.setattr(holder, step, stops)
+    with pytest.raises(OSError, match="stopped"):
+        layers.replace_slice(frame(spark, ("new", 9, D1)), "raw", "t", {"run_date": D1})
+    monkeypatch.setattr(holder, step, real)
+    done = step == "_drop" or (step == "publish" and late)
+    assert keys(layers.read("raw", "t")) == (["new", "other"] if done else ["old1", "old2", "other"])
+    # Who began to read before still can, and the write can be run again.
+    assert keys(before) == ["old1", "old2", "other"]
+    layers.replace_slice(frame(spark, ("new", 9, D1)), "raw", "t", {"run_date": D1})
+    assert keys(layers.read("raw", "t")) == ["new", "other"]
+
+
+def test_two_writers_of_a_slice_do_not_mix(spark, layers, monkeypatch):
+    layers.append(frame(spark, ("old", 1, D1), ("other", 3, D2)), "raw", "t")
+    real, rivals = commits.publish, [lambda: layers.replace_slice(frame(spark, ("b1", 1, D1), ("b2", 2, D1)), "raw", "t", {"run_date": D1})]
+    rivals.append(lambda: layers.append(frame(spark, ("late", 7, D2)), "raw", "t"))
+
+    def overtaken(*given):
+        # Another writer publishes the same number first.
+        if rivals:
+            rivals.pop()()
+        return real(*given)
+
+    monkeypatch.setattr(commits, "publish", overtaken)
+    layers.replace_slice(frame(spark, ("a1", 1, D1), ("a2", 2, D1)), "raw", "t", {"run_date": D1})
+    assert rivals == [] and keys(layers.read("raw", "t")) in (["a1", "a2", "late", "other"], ["b1", "b2", "late", "other"])
+    assert layers.log("raw", "t").state().number == 4
+
+
+def test_threads_that_write_at_once_lose_nothing(spark, layers):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: layers.append(frame(spark, (f"k{i}", i, D1)), "raw", "t"), range(6)))
+    assert keys(layers.read("raw", "t")) == [f"k{i}" for i in range(6)]
+
+
+def test_several_slices_change_by_one_commit_and_one_write(spark, layers):
+    schema = "run_date date, check_name string, n int"
+    rows = lambda n: spark.createDataFrame([(D1, "a", n), (D1, "b", n), (D1, "c", n), (D2, "a", n)], schema)
+    layers.append(rows(1), "audit", "t", ("run_date", "check_name"))
+    layers.replace_checks(rows(2).where("check_name != 'b'"), "audit", "t", D1, ["a", "b"])
+    assert sorted((str(r.run_date), r.check_name, r.n) for r in layers.read("audit", "t").collect()) == [
+        ("2024-02-01", "a", 2), ("2024-02-01", "c", 1), ("2024-02-02", "a", 1),
+    ]
+    assert layers.log("audit", "t").state().number == 2
+
+
+def test_old_folders_go_by_replacement_and_by_vacuum(spark, layers, monkeypatch):
+    for n in range(4):
+        layers.replace_slice(frame(spark, (f"k{n}", n, D1)), "raw", "t", {"run_date": D1})
+    log = layers.log("raw", "t")
+    written = lambda: commits.folders_named(spark, log.base, "w=*")
+    assert len(written()) == 2 and keys(layers.read("raw", "t")) == ["k3"]
+    monkeypatch.setattr(CommitLog, "commit", lambda *given: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        layers.append(frame(spark, ("lost", 1, D1)), "raw", "t")
+    monkeypatch.undo()
+    assert len(written()) == 3 and log.vacuum() == []
+    assert len(log.vacuum(kept_seconds=-60)) == 1 and len(written()) == 2
+    assert keys(layers.read("raw", "t")) == ["k3"] and log.state().number == 4
+
+
+def test_a_dropped_slice_leaves_no_files(spark, layers):
+    layers.append(frame(spark, ("a", 1, D1), ("b", 2, D2)), "raw", "t")
+    layers.replace_slice(frame(spark, ("c", 1, D1)), "raw", "t", {"run_date": D1})
+    layers.log("raw", "t").drop(["run_date=2024-02-01"])
+    assert commits.folders_named(spark, layers.path("raw", "t"), "w=*/*") == layers.log("raw", "t").state().folders()
+    assert keys(layers.read("raw", "t")) == ["b"]
