@@ -651,7 +651,7 @@ def _streamed(m: Models, compact: bool) -> DataFrame:
     users = m.lower_users()
     for number, operation in enumerate(("U", "D", "I")):
         _changes(m).where(F.col("op") == operation).coalesce(1).write.parquet(f"{root}/feed/part={number}")
-    target = ChangeTable(m.spark, f"{root}/table", ["user_id"])
+    target = ChangeTable(m.spark, f"{root}/table", ["user_id"], fold_after=2)
     follow = start_cdc(
         m.spark, f"{root}/feed/part=*", target, users.schema, f"{root}/checkpoint", backfill=users, available_now=True, files_per_batch=1
     )

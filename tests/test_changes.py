@@ -105,3 +105,77 @@ def test_a_merge_ranks_both_sides_alike(spark, rows):
     one, two = (spark.createDataFrame(x, FEED) for x in (one, two))
     expected = rows(cdc.last_changes(one.unionByName(two), ["k"]).select("k", "v", "op", "seq"))
     assert rows(cdc.merge_changes(one, two, ["k"])) == rows(cdc.merge_changes(two, one, ["k"])) == expected
+
+
+def bucket_files(table):
+    """Base folders by bucket."""
+    return {name.rpartition("=")[2]: folders for name, folders in table.log.state().current.items() if name.startswith("kind=base")}
+
+
+@pytest.fixture
+def wide(spark, tmp_path):
+    table = ChangeTable(spark, str(tmp_path / "wide"), ["k"], buckets=8, fold_after=None)
+    table.backfill(spark.range(400).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").cast("int").alias("v")))
+    return table
+
+
+def test_a_change_to_one_key_rewrites_one_bucket(spark, wide):
+    before = bucket_files(wide)
+    wide.add_batch(spark.createDataFrame([("k7", -7, "U", 1)], FEED), 0)
+    assert bucket_files(wide) == before
+    assert wide.current().where("k = 'k7'").first().v == -7
+    assert wide.compact() == 1
+    after = bucket_files(wide)
+    changed = [bucket for bucket in before if before[bucket] != after[bucket]]
+    assert len(before) == 8 and len(changed) == 1
+    found = {row.k: row.v for row in wide.current().collect()}
+    assert len(found) == 400 and found["k7"] == -7 and found["k8"] == 8
+    # A table that is opened again keeps its number of buckets.
+    assert ChangeTable(spark, wide.path, ["k"], buckets=3).buckets == 8
+
+
+def test_buckets_without_a_log_are_read_without_a_join(spark, wide):
+    assert "Join" not in wide.current()._jdf.queryExecution().optimizedPlan().toString()
+    wide.add_batch(spark.createDataFrame([("k7", -7, "U", 1)], FEED), 0)
+    plan = wide.current()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and "Union" in plan
+
+
+def test_the_stream_folds_buckets_whose_log_is_long(spark, snapshot, rows, tmp_path):
+    table = ChangeTable(spark, str(tmp_path / "table"), ["k"], buckets=4, fold_after=2)
+    feed = tmp_path / "feed"
+    for number, change in enumerate(CHANGES):
+        spark.createDataFrame([change], FEED).coalesce(1).write.parquet(f"{feed}/p{number}")
+    query = start_cdc(
+        spark, f"{feed}/p*", table, snapshot.schema, str(tmp_path / "cp"), backfill=snapshot, available_now=True, files_per_batch=1
+    )
+    query.awaitTermination()
+    state = table.log.state().current
+    assert all(len(folders) < 2 for name, folders in state.items() if name.startswith("kind=log"))
+    assert len(table.log_batches()) < len(CHANGES) and rows(table.current()) == CURRENT
+
+
+def test_changes_added_during_a_fold_stay(spark, wide, monkeypatch):
+    wide.add_batch(spark.createDataFrame([("k7", 1, "U", 1)], FEED), 0)
+    real = wide.log.commit
+
+    def later(change, **given):
+        monkeypatch.undo()
+        wide.add_batch(spark.createDataFrame([("k7", 2, "U", 2)], FEED), 1)
+        return real(change, **given)
+
+    monkeypatch.setattr(wide.log, "commit", later)
+    assert wide.compact() == 1 and wide.log_batches() == [1]
+    assert wide.current().where("k = 'k7'").first().v == 2
+    assert wide.compact() == 1 and wide.current().where("k = 'k7'").first().v == 2
+
+
+@pytest.mark.parametrize("step", ["written", "commit"])
+def test_a_fold_that_stops_changes_nothing(spark, wide, monkeypatch, step):
+    wide.add_batch(spark.createDataFrame([("k7", 1, "U", 1), ("k8", None, "D", 2)], FEED), 0)
+    monkeypatch.setattr(wide.log, step, lambda *given: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        wide.compact()
+    monkeypatch.undo()
+    assert wide.log_batches() == [0] and wide.current().count() == 399
+    assert wide.compact() == 1 and wide.current().count() == 399
