@@ -466,7 +466,7 @@ query("e5_orphan_events", _orphan_sql("crm_campaign_events", "f.event_id, f.user
 )
 
 query("e5_measured_orphan_sales", _orphan_sql("crm_sales", "f.deal_id, f.customer_id, f.user_id"))(
-    lambda m: joins.measured_orphans(m.raw("crm_sales").select("deal_id", "customer_id", "user_id"), m.raw("user_raw"))
+    lambda m: joins.orphans(m.raw("crm_sales").select("deal_id", "customer_id", "user_id"), m.lower_users())
 )
 
 query(

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from relata.functions.text import is_blank, trimmed
+from relata.sinks.scratch import stored
 
 #: Right rows of one key that a join meets in one place; a key with more is dealt into parts.
 PART_ROWS = 1_000_000
+#: Places of a sieve of keys. It has a row for 64 places, 131,072 rows at most, however many keys there are.
+SIEVE_BITS = 23
 
 
 def apart(key: str) -> list[Column]:
@@ -28,12 +31,6 @@ def known_keys(dimension: DataFrame, key: str) -> DataFrame:
     return keys.groupBy(*apart("_key")).agg(F.count(F.lit(1)).alias("_rows")).select("_key")
 
 
-def orphans(fact: DataFrame, users: DataFrame, key: str = "user_id", dimension_key: str = "user_id") -> DataFrame:
-    """Fact rows whose non-blank key is in no dimension row."""
-    keyed = fact.where(~is_blank(key)).withColumn("_key", trimmed(key))
-    return keyed.join(known_keys(users, dimension_key), "_key", "left_anti").drop("_key")
-
-
 def key_counts(fact: DataFrame, key: str) -> DataFrame:
     """Rows per trimmed key, blank keys left out; map-side combined, so hot keys stay cheap."""
     return (
@@ -50,22 +47,41 @@ def orphan_count(fact: DataFrame, users: DataFrame, key: str = "user_id", dimens
 
 
 def missing_keys(fact: DataFrame, users: DataFrame, key: str, dimension_key: str) -> DataFrame:
-    """The distinct keys of a fact table that the dimension lacks."""
-    return key_counts(fact, key).join(known_keys(users, dimension_key), "_key", "left_anti").select("_key")
+    """The distinct keys of a fact table that the dimension lacks, as a stored table ``_key``.
 
+    Only the key column of the fact is read, and one row per key and map task is shuffled.
+    """
+    missing = key_counts(fact, key).join(known_keys(users, dimension_key), "_key", "left_anti")
+    return stored(missing.select("_key"), "missing-keys")
 
-def measured_orphans(
-    fact: DataFrame, users: DataFrame, key: str = "user_id", dimension_key: str = "user_id"
-) -> DataFrame:
-    """The rows of ``orphans``, found through the missing keys.
 
-    These come from key counts alone; where they are few, the optimiser sends them to the fact rows, which stay in
-    place, by their measured size. With very many missing keys of which one holds most rows, ``orphans`` is the better
-    way: its join can be split, this one's cannot.
+def _place(key: Column | str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << SIEVE_BITS))
+
+
+def sieved(rows: DataFrame, key: str, keys: DataFrame, flag: str) -> DataFrame:
+    """``rows`` with the column ``flag``: may the text column ``key`` be one of ``keys``? False is certain.
+
+    The keys' hashes are bits of a table of bounded size, which is sent to all rows where they are.
+    """
+    held = keys.select(_place("_key").alias("_at")).groupBy((F.shiftright("_at", 6)).alias("_word"))
+    bit = F.expr("bit_or(shiftleft(bigint(1), int(_at & 63)))")
+    words = F.broadcast(held.agg(bit.alias("_bits")))
+    found = rows.withColumn("_at", _place(key)).withColumn("_word", F.shiftright("_at", 6)).join(words, "_word", "left")
+    hit = F.expr("(shiftrightunsigned(_bits, int(_at & 63)) & 1) = 1")
+    return found.withColumn(flag, never_null(hit) & F.col(key).isNotNull()).drop("_at", "_word", "_bits")
+
+
+def orphans(fact: DataFrame, users: DataFrame, key: str = "user_id", dimension_key: str = "user_id") -> DataFrame:
+    """Fact rows whose non-blank key is in no dimension row.
+
+    The missing keys come from key counts. The fact is then read once: a sieve of these keys keeps rows with other keys where
+    they are, and what is left meets the keys themselves in a join that adaptive execution can split.
     """
     missing = missing_keys(fact, users, key, dimension_key)
     keyed = fact.where(~is_blank(key)).withColumn("_key", trimmed(key))
-    return keyed.join(missing, "_key", "left_semi").drop("_key")
+    possible = sieved(keyed, "_key", missing, "_possible").where("_possible").drop("_possible")
+    return possible.join(missing, "_key", "left_semi").select(*fact.columns)
 
 
 def normalised_left_join(fact: DataFrame, users: DataFrame, key: str = "user_id", dimension_key: str = "user_id") -> DataFrame:

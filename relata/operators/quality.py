@@ -1,6 +1,7 @@
 """Rules over the raw tables: a report of failed-row counts, evidence of every failed row, gates.
 
-A rule is data. Each table is read once for all of its rules, however many there are.
+A rule is data. Each table is read once for all of its rules, however many there are, references to other tables too;
+evidence needs the missing keys first, for which the key column alone is read.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from relata.functions.records import fallback_key, hash_hex, row_json
 from relata.functions.text import is_blank, is_email, trimmed, upper_trimmed
-from relata.operators.joins import key_counts, known_keys, measured_orphans, never_null, orphans
+from relata.operators.joins import known_keys, missing_keys, never_null, sieved
 from relata.operators.staging import cast_to
 
 ERROR, WARNING = "ERROR", "WARNING"
@@ -92,15 +93,6 @@ def violation(rule: RawRule, table: DataFrame) -> Column:
     raise ValueError(f"{rule.rule_id}: {rule.kind} is not a row rule")
 
 
-def _failed_count(rule: RawRule, table: DataFrame) -> Column:
-    rows = F.count(F.lit(1))
-    if rule.kind == "count_positive":
-        return (rows <= 0).cast("bigint")
-    if rule.kind == "count_floor":
-        return (rows < rule.args[0]).cast("bigint")
-    return F.count_if(violation(rule, table))
-
-
 def _report_row(rule: RawRule, failed: Column) -> Column:
     return F.struct(
         F.lit(rule.rule_id).alias("rule_id"),
@@ -111,25 +103,37 @@ def _report_row(rule: RawRule, failed: Column) -> Column:
     )
 
 
-def table_report(table: DataFrame, rules: list[RawRule]) -> DataFrame:
-    """All counting and row rules of one table in one aggregate, unfolded to one row per rule."""
-    counted = table.agg(*[_failed_count(rule, table).alias(rule.rule_id) for rule in rules])
-    return counted.select(F.inline(F.array(*[_report_row(rule, F.col(rule.rule_id)) for rule in rules])))
+def table_report(table: DataFrame, rules: list[RawRule], dimensions: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """All rules of one table by one scan, one row per rule.
+
+    Without references it is one aggregate. With them, rows are counted per key first, for every rule at once: that is combined
+    before the shuffle, so a hot key is one row, and meets the known keys as such.
+    """
+    references = [rule for rule in rules if rule.kind == "exists"]
+    keys = list(dict.fromkeys(rule.column for rule in references))
+    rows_of = [rule for rule in rules if rule.kind not in (*COUNT_KINDS, "exists")]
+    counters = [F.count(F.lit(1)).alias("_rows"), *[F.count_if(violation(rule, table)).alias(rule.rule_id) for rule in rows_of]]
+    key_columns = [F.when(~is_blank(key), trimmed(key)).alias(f"_key{i}") for i, key in enumerate(keys)]
+    counted = table.groupBy(*key_columns).agg(*counters) if keys else table.agg(*counters)
+    failed = {rule.rule_id: F.col(rule.rule_id) for rule in rows_of}
+    for i, rule in enumerate(references):
+        dimension, key = rule.args
+        at = f"_key{keys.index(rule.column)}"
+        known = known_keys(dimensions[dimension], key).select(F.col("_key").alias(at), F.lit(True).alias(f"_known{i}"))
+        counted = counted.join(known, at, "left")
+        failed[rule.rule_id] = F.when(F.col(at).isNotNull() & F.col(f"_known{i}").isNull(), F.col("_rows"))
+    if keys:
+        sums = [F.coalesce(F.sum(count), F.lit(0)).alias(name) for name, count in {"_rows": F.col("_rows"), **failed}.items()]
+        counted = counted.agg(*sums)
+    limits = {"count_positive": lambda rule: F.col("_rows") <= 0, "count_floor": lambda rule: F.col("_rows") < rule.args[0]}
+    values = [limits[rule.kind](rule) if rule.kind in COUNT_KINDS else F.col(rule.rule_id) for rule in rules]
+    return counted.select(F.inline(F.array(*[_report_row(rule, value) for rule, value in zip(rules, values, strict=True)])))
 
 
 def quality_report(tables: Mapping[str, DataFrame], rules: tuple[RawRule, ...] = RAW_RULES) -> DataFrame:
     """One row per rule: id, severity, table, failed rows, text; errors first, then by id."""
-    parts = []
-    for name, table in tables.items():
-        own = [rule for rule in rules if rule.table == name and rule.kind != "exists"]
-        if own:
-            parts.append(table_report(table, own))
-        for rule in (rule for rule in rules if rule.table == name and rule.kind == "exists"):
-            dimension, key = rule.args
-            missing = key_counts(table, rule.column).join(known_keys(tables[dimension], key), "_key", "left_anti")
-            failed = missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failed"))
-            parts.append(failed.select(F.inline(F.array(_report_row(rule, F.col("failed"))))))
-    return order_rules(_union(parts))
+    owned = {name: [rule for rule in rules if rule.table == name] for name in tables}
+    return order_rules(_union([table_report(tables[name], own, tables) for name, own in owned.items() if own]))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -148,17 +152,30 @@ def source_key(rule: RawRule, record_json: Column) -> Column:
     return fallback_key(rule.keys or (), hash_hex(record_json))
 
 
-def table_evidence(table: DataFrame, rules: list[RawRule]) -> DataFrame:
-    """One row per broken rule and row. Clean rows are filtered out before any JSON is built."""
-    checks = [violation(rule, table) for rule in rules]
-    any_broken = checks[0]
-    for check in checks[1:]:
-        any_broken = any_broken | check
-    broken = table.where(any_broken).withColumn("_json", row_json(table))
+def table_evidence(table: DataFrame, rules: list[RawRule], missing: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One row per broken rule and row, by one scan. Clean rows are filtered out before any JSON is built.
+
+    ``missing`` has the missing keys of each rule that refers to another table. Rows that a sieve of these keys lets through
+    are joined with the keys themselves; that join has only such and broken rows, and adaptive execution can split it.
+    """
+    references = {rule.rule_id: i for i, rule in enumerate(rules) if rule.kind == "exists"}
+    rows, broken = table, F.lit(False)
+    for rule in rules:
+        if rule.rule_id in references:
+            i = references[rule.rule_id]
+            rows = sieved(rows.withColumn(f"_key{i}", F.when(~is_blank(rule.column), trimmed(rule.column))), f"_key{i}", missing[rule.rule_id], f"_possible{i}")
+            broken = broken | F.col(f"_possible{i}")
+        else:
+            broken = broken | violation(rule, table)
+    rows = rows.where(broken)
+    for rule_id, i in references.items():
+        keys = missing[rule_id].select(F.col("_key").alias(f"_key{i}"), F.lit(True).alias(f"_missing{i}"))
+        rows = rows.join(keys, f"_key{i}", "left")
+    rows = rows.withColumn("_json", row_json(table))
     found = F.array(
         *[
             F.when(
-                violation(rule, table),
+                F.col(f"_missing{references[rule.rule_id]}").isNotNull() if rule.rule_id in references else violation(rule, table),
                 F.struct(
                     F.lit(rule.rule_id).alias("rule_id"),
                     source_key(rule, F.col("_json")).alias("source_key"),
@@ -169,7 +186,7 @@ def table_evidence(table: DataFrame, rules: list[RawRule]) -> DataFrame:
         ]
     )
     return (
-        broken.select("_json", F.explode(found).alias("_hit"))
+        rows.select("_json", F.explode(found).alias("_hit"))
         .where(F.col("_hit").isNotNull())
         .select(
             "_hit.rule_id",
@@ -181,18 +198,6 @@ def table_evidence(table: DataFrame, rules: list[RawRule]) -> DataFrame:
     )
 
 
-def orphan_evidence(table: DataFrame, dimension: DataFrame, rule: RawRule, measured: bool = False) -> DataFrame:
-    find = measured_orphans if measured else orphans
-    rows = find(table, dimension, rule.column, rule.args[1])
-    return rows.withColumn("_json", row_json(table)).select(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(f"raw.{rule.table}").alias("source_table"),
-        source_key(rule, F.col("_json")).alias("source_key"),
-        F.lit(rule.message).alias("error_reason"),
-        F.col("_json").alias("record_json"),
-    )
-
-
 def rejected_records(
     tables: Mapping[str, DataFrame],
     run_date: str,
@@ -200,22 +205,17 @@ def rejected_records(
     dag_id: str = "nightly_crm_pipeline",
     task_id: str = "validate_data_quality",
     rules: tuple[RawRule, ...] = RAW_RULES,
-    measured: bool = False,
 ) -> DataFrame:
     """Evidence rows for every rule that has evidence keys; a row appears once per rule it breaks.
 
-    With ``measured`` the missing user ids are counted first, which keeps large fact tables out of
-    the shuffle as long as few ids are missing.
+    Missing keys are found when this is called; the result reads each table once.
     """
     parts = []
     for name, table in tables.items():
-        with_keys = [rule for rule in rules if rule.table == name and rule.keys is not None]
-        own = [rule for rule in with_keys if rule.kind != "exists"]
+        own = [rule for rule in rules if rule.table == name and rule.keys is not None]
+        missing = {rule.rule_id: missing_keys(table, tables[rule.args[0]], rule.column, rule.args[1]) for rule in own if rule.kind == "exists"}
         if own:
-            parts.append(table_evidence(table, own))
-        parts += [
-            orphan_evidence(table, tables[rule.args[0]], rule, measured) for rule in with_keys if rule.kind == "exists"
-        ]
+            parts.append(table_evidence(table, own, missing))
     return _union(parts).select(
         F.lit(run_date).cast("date").alias("run_date"),
         F.lit(dag_id).alias("dag_id"),

@@ -79,7 +79,7 @@ def governed_quality(layers: Layers, as_of: datetime, honour_action: bool = Fals
 def classic_quality(layers: Layers, raw: Mapping[str, DataFrame], run_date: str, as_of: datetime) -> DataFrame:
     """Evidence first, then the report, then the gate: evidence outlives a failed gate."""
     quality.fail_if_empty(row_counts({f"raw.{name}": table for name, table in raw.items()}))
-    evidence = quality.rejected_records(raw, run_date, instant(as_of), measured=True)
+    evidence = quality.rejected_records(raw, run_date, instant(as_of))
     layers.ensure("raw", "crm_rejected_records", REJECTED_SCHEMA)
     key = {"run_date": run_date, "dag_id": "nightly_crm_pipeline", "task_id": "validate_data_quality"}
     layers.replace_slice(evidence, "raw", "crm_rejected_records", key)

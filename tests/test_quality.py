@@ -38,6 +38,35 @@ def test_each_table_is_scanned_once_for_its_row_rules(raw):
     assert plan.count("FileScan") == 1
 
 
+def test_each_fact_is_scanned_once_for_rows_and_references(raw):
+    for name in ("crm_sales", "crm_campaign_events"):
+        rules = [rule for rule in quality.RAW_RULES if rule.table == name]
+        fact = {"crm_sales": "orders.parquet", "crm_campaign_events": "events.parquet"}[name]
+        report = quality.table_report(raw[name], rules, raw)
+        evidence = quality.rejected_records(raw, "2024-02-01", F.lit(NOW), rules=tuple(rules))
+        for df in (report, evidence):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("FileScan") - plan.count("customer.parquet") - plan.count("nation.parquet") <= 1 + plan.count("missing-keys")
+            assert plan.count(fact) == 1
+
+
+def test_references_of_empty_and_unknown_rows(spark):
+    users = spark.createDataFrame([("u1",), (None,), (" u2",)], "USER_ID string")
+    schema = "deal_id string, customer_id string, user_id string, deal_amount string, currency string"
+    rows = [("d1", "c", "u1 ", "1", "USD"), ("d2", "c", "u9", "-1", "USD"), ("d3", "c", None, "1", "USD"), ("d4", "c", " ", "1", None), (None, "c5", "u2", "1", "USD")]
+    rules = tuple(rule for rule in quality.RAW_RULES if rule.table == "crm_sales")
+    for held in (rows, []):
+        tables = {"user_raw": users, "crm_sales": spark.createDataFrame(held, schema)}
+        report = {row.rule_id: row.failed_row_count for row in quality.quality_report(tables, rules).collect()}
+        assert report["crm_sales_user_exists_in_oracle"] == (1 if held else 0) and report["crm_sales_user_id_required"] == (2 if held else 0)
+        assert report["crm_sales_count_positive"] == (0 if held else 1) and report["crm_sales_deal_amount_non_negative"] == (1 if held else 0)
+        found = quality.rejected_records(tables, "2024-02-01", F.lit(NOW), rules=rules).collect()
+        assert sorted((row.rule_id, row.source_key) for row in found) == ([
+            ("crm_sales_deal_amount_non_negative", "d2"), ("crm_sales_deal_id_required", "c5"), ("crm_sales_user_exists_in_oracle", "d2"),
+            ("crm_sales_user_id_required", "d3"), ("crm_sales_user_id_required", "d4"),
+        ] if held else [])
+
+
 def test_report_order(raw):
     found = [(row.severity, row.rule_id) for row in quality.quality_report(raw).collect()]
     assert found == sorted(found)
