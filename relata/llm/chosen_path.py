@@ -6,10 +6,10 @@ are linked if their sets' Jaccard similarity is at least 0.85; components of lin
 Equal sets are one *unit*. A unit has minwise tokens (the least value of its set under a random function each) and a
 sketch of 128 further minwise values, one byte each. Independent trees branch the units: a root branches by ``BRANCHES``
 of its tokens, and a unit goes to the child of each of its values. Nodes of at most ``NODE`` units are compared
-exhaustively by their sketches. In a larger one all units are first compared with one of them, the pivot, and those close to
+exhaustively by their sketches, pair of blocks by pair of blocks. In a larger one all units are first compared with one of them, the pivot, and those close to
 it leave the node, as near copies of one text stay together however often they branch; the others branch again by sketch
-values chosen from the node's own hash. A node that is still large after ``DEPTH`` branchings is dealt into blocks and compared
-pair of blocks by pair of blocks, so nothing is cut off.
+values chosen from the node's own hash. A node that is still large after ``DEPTH`` branchings is compared exhaustively as
+well, so nothing is cut off.
 
 Leaving costs no link: sketches that differ in d places make a metric, so whatever is alike to a unit that differs from the
 pivot in at most ``CLOSE`` places differs from the pivot in at most ``CLOSE + SKETCH - AGREE``, and all such units are joined
@@ -42,8 +42,10 @@ SHINGLE = 5
 #: Links need 100 * shared >= PERCENT * union.
 PERCENT = 85
 TREES, BRANCHES, DEPTH = 4, 2, 4
-#: Units of a node that are compared exhaustively; a larger node branches, or is dealt into blocks of about this size.
-NODE = 512
+#: Units of a node that are compared exhaustively; a larger node branches.
+NODE = 8192
+#: Units of a block, about: what is compared in one piece are two blocks.
+BLOCK = 512
 SKETCH = 128
 #: Places in which the sketches of a candidate agree.
 AGREE = 84
@@ -197,12 +199,6 @@ def _from_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(apart)], names=["sketch", *batch.schema.names[2:], "apart"])
 
 
-def _compared(members: DataFrame) -> DataFrame:
-    """Candidate edges within each (node, pair) of ``members``."""
-    members = members.select("node", "pair", "unit", "n", "sketch")
-    return members.repartition("node", "pair").sortWithinPartitions("node", "pair").mapInArrow(_candidates, "a long, b long")
-
-
 def _by_size(members: DataFrame, node: int) -> tuple[DataFrame, DataFrame]:
     """The nodes of 2 to ``node`` members, and the larger ones, with the number ``held``."""
     held = members.groupBy("node").agg(F.count("*").alias("held"))
@@ -210,37 +206,50 @@ def _by_size(members: DataFrame, node: int) -> tuple[DataFrame, DataFrame]:
     return held.where(F.col("held") <= node), held.where(F.col("held") > node)
 
 
-def candidates(units: DataFrame, node: int = NODE, depth: int = DEPTH) -> DataFrame:
+def _in_blocks(members: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
+    """The members of ``nodes`` once for each pair of blocks they are compared in."""
+    columns = ["node", "pair", "unit", "n", "sketch"]
+    whole = members.join(nodes.where(F.col("held") <= block), "node", "left_semi").withColumn("pair", F.lit(0).cast("long"))
+    large = nodes.where(F.col("held") > block)
+    if large.isEmpty():
+        return whole.select(columns)
+    parts = stored(members.join(large, "node", "left_semi"), "parted").join(large, "node")
+    return whole.select(columns).union(_dealt(parts, "node", "unit", F.ceil(F.col("held") / F.lit(block))).select(columns))
+
+
+def candidates(units: DataFrame, node: int = NODE, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) between units (``unit``, ``n``, ``tokens``, ``sketch``) that connect all that meet in a node and look alike."""
     columns = ["node", "unit", "n", "sketch"]
-    alone = F.lit(0).cast("long").alias("pair")
     roots = units.select("unit", "n", "sketch", F.posexplode("tokens").alias("place", "token"))
     members = roots.select(F.xxhash64("place", "token").alias("node"), "unit", "n", "sketch")
     small, large = _by_size(members, node)
-    found = _compared(members.join(small, "node", "left_semi").select("*", alone))
+    met, found = _in_blocks(members, small, block), None
     for _ in range(depth):
         if large.isEmpty():
-            return found
+            break
         members = stored(members.join(large, "node", "left_semi").select(columns), "members")
         pivots = members.groupBy("node").agg(F.min(F.struct(F.xxhash64("node", "unit").alias("turn"), "unit", "sketch")).alias("pivot"))
         pivots = stored(pivots.select("node", F.col("pivot.unit").alias("pivot"), F.col("pivot.sketch").alias("center")), "pivots")
         near = members.join(pivots, "node").select("sketch", "center", "node", "unit", "n", "pivot")
         near = near.mapInArrow(_from_pivots, "sketch binary, node long, unit long, n long, pivot long, apart long")
         near = stored(near, "from-pivots")
-        found = found.union(near.where(F.col("apart") <= CLOSE + SKETCH - AGREE).select("unit", "pivot"))
+        edges = near.where(F.col("apart") <= CLOSE + SKETCH - AGREE).select(F.col("unit").alias("a"), F.col("pivot").alias("b"))
+        found = edges if found is None else found.union(edges)
         members = near.where(F.col("apart") > CLOSE).select(columns)
         small, large = _by_size(members, node)
-        found = found.union(_compared(members.join(small, "node", "left_semi").select("*", alone)))
+        met = met.union(_in_blocks(members, small, block))
         branch = F.explode(F.sequence(F.lit(0), F.lit(BRANCHES - 1))).alias("branch")
         members = members.join(large, "node", "left_semi").select(*columns, branch)
         place = F.pmod(F.xxhash64("node", "branch"), F.lit(SKETCH)).cast("int")
         value = F.substring("sketch", place + 1, F.lit(1))
         members = stored(members.select(F.xxhash64("node", "branch", value).alias("node"), "unit", "n", "sketch"), "branches")
         small, large = _by_size(members, node)
-        found = found.union(_compared(members.join(small, "node", "left_semi").select("*", alone)))
-    if large.isEmpty():
-        return found
-    return found.union(_compared(_dealt(members.join(large, "node"), "node", "unit", F.ceil(F.col("held") / F.lit(node)))))
+        met = met.union(_in_blocks(members, small, block))
+    else:
+        met = met.union(_in_blocks(members, large, block))
+    # All nodes of all levels are compared by one job.
+    met = met.repartition("node", "pair").sortWithinPartitions("node", "pair").mapInArrow(_candidates, "a long, b long")
+    return met if found is None else found.union(met)
 
 
 def confirmed(members: list[np.ndarray]) -> list[tuple[int, int]]:

@@ -87,7 +87,7 @@ def test_large_nodes_branch_and_are_dealt_into_blocks(spark):
     texts = list(dict.fromkeys(near_texts(rnd, 1, 60, 2))) + [f"{passage} " + " ".join(f"y{rnd.randrange(10**6)}" for _ in range(60)) for _ in range(80)]
     sets = [shingles(text) for text in texts]
     for depth in (0, 2):
-        edges = chosen_path.candidates(units(spark, texts), node=16, depth=depth).collect()
+        edges = chosen_path.candidates(units(spark, texts), node=16, depth=depth, block=16).collect()
         parent = list(range(len(texts)))
 
         def root(i, parent=parent):
