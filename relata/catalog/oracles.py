@@ -192,6 +192,10 @@ PIECES["user_features"] = ((), ("users", *_DEDUPED), _user_features("users"))
 PIECES["user_features_versions"] = ((), ("versions", *_DEDUPED), _user_features("versions"))
 
 
+#: Pieces that several later ones read and that are computed once.
+STEPS: set[str] = set()
+
+
 def oracle(select: str, *names: str) -> str:
     """``select`` with the named pieces and derived tables, and all they need, defined before it."""
     views: list[str] = []
@@ -210,7 +214,7 @@ def oracle(select: str, *names: str) -> str:
 
     for name in names:
         need(name)
-    defined = [f"{name} as ({PIECES[name][2]})" for name in pieces]
+    defined = [f"{name} as {'materialized ' if name in STEPS else ''}({PIECES[name][2]})" for name in pieces]
     head = ctes(*views) if views else "with"
     return f"{head}{', ' if views and defined else ' '}{', '.join(defined)} {select}"
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from relata.catalog.adapters import AS_OF, RUN_DATE, as_of
 from relata.catalog.models import Models
-from relata.catalog.oracles import PIECES, doubles, oracle, texts
+from relata.catalog.oracles import PIECES, STEPS, doubles, oracle, texts
 from relata.catalog.portable import portable
 from relata.functions.records import utc
 from relata.operators import activation, audit, cdc, segments, validation
@@ -371,6 +371,56 @@ def _governed_scored(m: Models) -> tuple[segments.SegmentModel, DataFrame]:
     return segments.fit_segments(features, _GOVERNED), features
 
 
+def _fit_pieces(prefix: str, source: str, features: tuple[str, ...]) -> None:
+    """The exact fit in SQL, each seed and each round a step of its own: ``<prefix>_fit`` has the centers, ``<prefix>_near`` each
+    user's distances from them."""
+    wide, clusters = range(len(features)), range(segments.CLUSTERS)
+    steps: list[tuple[str, str]] = []
+
+    def cols(template: str) -> str:
+        return ", ".join(template.replace("#", str(i)) for i in wide)
+
+    def apart(point: str, center: str) -> str:
+        return " + ".join(f"({point}.z{i} - {center}.z{i}) * ({point}.z{i} - {center}.z{i})" for i in wide)
+
+    numbers = ", ".join(f"cast(floor(cast({name} as double) * 1000000 + 0.5) as hugeint) as x{i}" for i, name in enumerate(features))
+    steps.append(("x", f"select ('0x' || substr(md5('{segments.SEED}:' || user_id), 1, 15))::bigint as h, user_id, {numbers} from {source} where user_id is not null"))
+    steps.append(("m", f"select count(*) as n, {cols('coalesce(sum(x#) // greatest(count(x#), 1), 0) as m#')} from {prefix}_x"))
+    steps.append(("d", f"select h, user_id, {cols('coalesce(x# - m#, 0) as d#')} from {prefix}_x, {prefix}_m"))
+    steps.append(("s", f"select {cols('cast(floor(sqrt(cast(sum(d# * d#) // greatest(count(*) - 1, 1) as double))) as hugeint) as s#')} from {prefix}_d"))
+    steps.append(("z", f"select h, user_id, {cols('case when s# = 0 then 0::hugeint else d# * 10000 // s# end as z#')} from {prefix}_d, {prefix}_s"))
+    steps.append(("seed0", f"select {cols('z#')} from {prefix}_z order by h, user_id limit 1"))
+    for k in clusters[1:]:
+        earlier = [f"{prefix}_seed{j}" for j in range(k)]
+        nearest = f"least({', '.join(apart('p', seed) for seed in earlier)})" if k > 1 else apart("p", earlier[0])
+        steps.append((f"seed{k}", f"select {cols('z#')} from (select p.*, {nearest} as d from {prefix}_z p, {', '.join(earlier)}) q where d > 0 order by h // d, h, user_id limit 1"))
+    steps.append(("c0", " union all ".join(f"select {k} as id, {cols('z#')} from {prefix}_seed{k}" for k in clusters)))
+    for n in range(segments.ITERATIONS):
+        near = f"select p.*, c.id, row_number() over (partition by p.user_id order by {apart('p', 'c')}, c.id) as place from {prefix}_z p, {prefix}_c{n} c"
+        steps.append((f"a{n}", f"select id, count(*) as n, {cols('sum(z#) // count(*) as z#')} from ({near}) q where place = 1 group by id"))
+        steps.append((f"c{n + 1}", f"select c.id, {cols('coalesce(a.z#, c.z#) as z#')} from {prefix}_c{n} c left join {prefix}_a{n} a using (id)"))
+    steps.append(("fit", f"select * from {prefix}_c{segments.ITERATIONS}"))
+    # Scoring, in the same order of operations on doubles.
+    value = ", ".join(
+        f"case when s{i} > 0 then (coalesce(cast(f.{name} as double), m{i} / 1000000.0::double) - m{i} / 1000000.0::double) / (s{i} / 1000000.0::double) else 0.0::double end as v{i}"
+        for i, name in enumerate(features)
+    )
+    steps.append(("v", f"select f.user_id, {value} from {source} f, {prefix}_m, {prefix}_s where f.user_id is not null"))
+    square = "0.0::double"
+    for i in wide:
+        square = f"({square} + (v{i} - z{i} / 10000.0::double) * (v{i} - z{i} / 10000.0::double))"
+    steps.append(("near", f"select user_id, id + 1 as centroid_id, distance from (select v.user_id, c.id, sqrt({square}) as distance from {prefix}_v v, {prefix}_fit c) q qualify row_number() over (partition by user_id order by distance, id) = 1"))
+    names = [f"{prefix}_{name}" for name, _ in steps]
+    for i, (_, text) in enumerate(steps):
+        PIECES[names[i]] = ((), (source, *names[:i]), text)
+    STEPS.update(names)
+
+
+_fit_pieces("governed", "features", _GOVERNED)
+_fit_pieces("classic", "user_features", segments.CLASSIC_FEATURES)
+_SEGMENT_SCORE = "round(100.0::double / (1.0::double + distance), 2)"
+
+
 def _fit_report(m: Models) -> DataFrame:
     model, features = _governed_scored(m)
     scored = segments.user_segments_governed(model, features, as_of())
@@ -379,8 +429,36 @@ def _fit_report(m: Models) -> DataFrame:
     )
 
 
-query("k1_k5_fit_and_score")(_fit_report)
-query("k2_fit_classic")(
+def _fitted_centers(m: Models, features: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """The centers of a fit as rows."""
+    model = segments.fit_segments(features, names)
+    rows = [(i + 1, name, value) for i, center in enumerate(model.centers) for name, value in zip(model.features, center, strict=True)]
+    return m.spark.createDataFrame(rows, "centroid_id bigint, feature string, value double")
+
+
+def _centers_sql(prefix: str, features: tuple[str, ...]) -> str:
+    parts = [f"select cast(id + 1 as bigint) as centroid_id, '{name}' as feature, z{i} / 10000.0::double as value from {prefix}_fit" for i, name in enumerate(features)]
+    return oracle(" union all ".join(parts), f"{prefix}_fit")
+
+
+query("k1_fit_centers", _centers_sql("governed", _GOVERNED))(lambda m: _fitted_centers(m, m.features(), _GOVERNED))
+query("k2_fit_centers", _centers_sql("classic", segments.CLASSIC_FEATURES))(lambda m: _fitted_centers(m, m.user_features(), segments.CLASSIC_FEATURES))
+query(
+    "k1_k5_fit_and_score",
+    oracle(
+        f"select 'segment_' || centroid_id as segment_name, count(*) as users, min({_SEGMENT_SCORE}) as low, max({_SEGMENT_SCORE}) as high from governed_near group by centroid_id",
+        "governed_near",
+    ),
+)(_fit_report)
+query(
+    "k2_fit_classic",
+    oracle(
+        "select u.user_id, email, can_email, city, country, income_band, centroid_id as segment_id, 'segment_' || centroid_id as segment_name, "
+        + ", ".join(f"cast({name} as double) as {name}" for name in segments.CLASSIC_FEATURES)
+        + ", '2024-02-01 00:00:00' as segmented_at from user_features u join classic_near using (user_id)",
+        "user_features", "classic_near",
+    ),
+)(
     lambda m: (lambda f: segments.user_segments_classic(segments.fit_segments(f, segments.CLASSIC_FEATURES), f, as_of()))(
         m.user_features()
     )
@@ -422,7 +500,14 @@ def _scored_shape(m: Models) -> DataFrame:
 
 
 query("k8_scored_shape", oracle(f"select user_id, '{RUN_DATE}' as run_date, true as known from features where user_id is not null", "features"))(_scored_shape)
-query("k8_scored_users")(lambda m: segments.user_segments_governed(*_governed_scored(m), as_of()))
+query(
+    "k8_scored_users",
+    oracle(
+        f"select '{RUN_DATE}' as run_date, user_id, 'segment_' || centroid_id as segment_name, {_SEGMENT_SCORE} as segment_score, '{segments.MODEL_NAME}' as model_name, "
+        f"'{segments.MODEL_VERSION}' as model_version, '2024-02-01 00:00:00' as scored_at from governed_near",
+        "governed_near",
+    ),
+)(lambda m: segments.user_segments_governed(*_governed_scored(m), as_of()))
 query(
     "k3_mean_imputation",
     oracle(

@@ -85,13 +85,16 @@ ROW_KINDS = ("nonNull", "rowCondition", "equals", "parsable")
 GROUP_KINDS = ("uniqueness", "duplicatesAtMost")
 
 
-def _group_rule(rule: ScanRule, df: DataFrame) -> DataFrame:
-    """Key-uniqueness rules: one map-side combined count per key group."""
+def _group_rows(rule: ScanRule, df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The rows ``_rows`` of each key of a uniqueness rule; map-side combined."""
     keys = rule.options.get("keys") or [rule.column]
     chosen = df.where(rule.options["where"]) if rule.options.get("where") else df
     for key in rule.options.get("present", ()):
         chosen = chosen.where(F.col(key).isNotNull())
-    groups = chosen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return chosen.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _group_result(rule: ScanRule, groups: DataFrame) -> DataFrame:
     totals = groups.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.when(F.col("_rows") == 1, 1)), F.lit(0)).alias("single"),
@@ -102,6 +105,10 @@ def _group_rule(rule: ScanRule, df: DataFrame) -> DataFrame:
     return totals.select(F.inline(F.array(result)))
 
 
+def _group_rule(rule: ScanRule, df: DataFrame) -> DataFrame:
+    return _group_result(rule, _group_rows(rule, df))
+
+
 def scan(
     df: DataFrame, scan_id: str, rules: Sequence[ScanRule], as_of: datetime, sampling_percent: float = 100, seed: int = 17
 ) -> DataFrame:

@@ -1,4 +1,4 @@
-"""K-means segmentation: fit with ``pyspark.ml``, score with plain column expressions.
+"""K-means segmentation: an exact fit by aggregates, or one with ``pyspark.ml``; scoring with plain column expressions.
 
 A fitted model is small (k centers of ten or so numbers), so scoring puts means, deviations and
 centers into the plan as literals: one code-generated projection, no join and no vectors.
@@ -16,6 +16,8 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
+from relata.operators import exact_kmeans
+
 # Features of each variant, in order, and the model options.
 GOVERNED_FEATURES = (
     "deal_count",
@@ -127,7 +129,14 @@ def scoring_model(fitted: PipelineModel, features: Sequence[str]) -> SegmentMode
 def fit_segments(
     df: DataFrame, features: Sequence[str], clusters: int = CLUSTERS, iterations: int = ITERATIONS, seed: int = SEED
 ) -> SegmentModel:
-    return scoring_model(fit_stages(df, features, clusters, iterations, seed), features)
+    """The exact fit: equal rows give equal centers, whatever their order and partitions."""
+    found = exact_kmeans.fit(df, features, clusters, iterations, seed)
+    return SegmentModel(
+        tuple(features),
+        tuple(mean / exact_kmeans.VALUE_UNIT for mean in found.means),
+        tuple(deviation / exact_kmeans.VALUE_UNIT for deviation in found.deviations),
+        tuple(tuple(value / exact_kmeans.SCALED_UNIT for value in center) for center in found.centers),
+    )
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:

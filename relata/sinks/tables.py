@@ -109,10 +109,11 @@ class Layers:
     def log(self, layer: str, name: str) -> CommitLog:
         return CommitLog(self.spark, self.path(layer, name))
 
-    def read(self, layer: str, name: str, under: str = "") -> DataFrame:
-        """All current slices, or those at or below one. A declared schema gives the column types; else they come from the files."""
+    def read(self, layer: str, name: str, under: str | Sequence[str] = "") -> DataFrame:
+        """All current slices, or those at or below some. A declared schema gives the column types; else they come from the files."""
         base, schema = self.path(layer, name), self.declared(layer, name)
-        folders = [f"{base}/{folder}" for folder in self.log(layer, name).state().folders(under)]
+        state = self.log(layer, name).state()
+        folders = [f"{base}/{folder}" for part in ([under] if isinstance(under, str) else under) for folder in state.folders(part)]
         if not folders:
             if schema is None:
                 raise FileNotFoundError(f"no slice of {layer}.{name}")
