@@ -206,11 +206,12 @@ def oracle(select: str, *names: str) -> str:
             if name not in views:
                 views.append(name)
             return
+        if name in pieces:
+            return
         tables, others, _ = PIECES[name]
         for other in (*tables, *others):
             need(other)
-        if name not in pieces:
-            pieces.append(name)
+        pieces.append(name)
 
     for name in names:
         need(name)
