@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from relata.catalog.adapters import AS_OF, RUN_DATE, as_of
 from relata.catalog.models import Models
-from relata.catalog.oracles import PIECES, STEPS, doubles, oracle, texts
+from relata.catalog.oracles import PIECES, STEPS, doubles, oracle, rounded, texts
 from relata.catalog.portable import portable
 from relata.functions.records import utc
 from relata.operators import activation, audit, cdc, segments, validation
@@ -418,6 +418,7 @@ def _fit_pieces(prefix: str, source: str, features: tuple[str, ...]) -> None:
 
 _fit_pieces("governed", "features", _GOVERNED)
 _fit_pieces("classic", "user_features", segments.CLASSIC_FEATURES)
+_MEANS = ("avg_deal_amount", "avg_csat_score")
 _SEGMENT_SCORE = "round(100.0::double / (1.0::double + distance), 2)"
 
 
@@ -454,10 +455,11 @@ query(
     "k2_fit_classic",
     oracle(
         "select u.user_id, email, can_email, city, country, income_band, centroid_id as segment_id, 'segment_' || centroid_id as segment_name, "
-        + ", ".join(f"cast({name} as double) as {name}" for name in segments.CLASSIC_FEATURES)
+        + ", ".join((rounded if name in _MEANS else doubles)(name) for name in segments.CLASSIC_FEATURES)
         + ", '2024-02-01 00:00:00' as segmented_at from user_features u join classic_near using (user_id)",
         "user_features", "classic_near",
     ),
+    _MEANS,
 )(
     lambda m: (lambda f: segments.user_segments_classic(segments.fit_segments(f, segments.CLASSIC_FEATURES), f, as_of()))(
         m.user_features()
