@@ -264,9 +264,9 @@ class BlockFiles:
     def _cut(self, blocks: DataFrame, how: str, whole: bool) -> DataFrame:
         dialect = self.dialect
         states = blocks.select(FILE, BLOCK, "state", "before", "offset")
-        # One row for each block joins each line, by broadcast if that is small; the lines' order is kept by their number.
-        lines = self._lines().withColumn("ordinal", F.monotonically_increasing_id())
-        lines = lines.join(states, [FILE, BLOCK], how).sortWithinPartitions("ordinal").drop("ordinal")
+        # One row for each block joins each line, always by broadcast: it keeps the lines in the scan's order, and no task
+        # holds a block's lines to sort them. The driver lists as many files anyway.
+        lines = self._lines().join(F.broadcast(states), [FILE, BLOCK], how)
         return lines.mapInArrow(lambda batches: cut(batches, dialect, whole), _ddl(RECORDS))
 
     def records(self) -> DataFrame:

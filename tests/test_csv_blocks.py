@@ -176,3 +176,18 @@ def test_any_division_into_blocks_and_batches_gives_the_same_records():
                 wanted.append(line)
             state = line_state(state, line.decode())
         assert [found[n] for n in sorted(found)] == wanted and sorted(found) == list(range(1, len(wanted) + 1))
+
+
+def test_no_task_sorts_the_lines_of_a_block(spark, tmp_path, small_blocks):
+    """Also where nothing is small enough for a broadcast of Spark's own choice; the lines stay in order."""
+    text = written(random.Random(5), 200, "\n")
+    (tmp_path / "crm_new_partner_leads_a.csv").write_text(text)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = csv_files.read_crm_csv(spark, str(tmp_path), LEADS).select(validation.NUMBER, *LEADS.names)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Sort " not in plan
+        assert sorted(tuple(value or None for value in row) for row in df.collect()) == expected(text)[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
