@@ -343,15 +343,7 @@ query("b12_rerun_safe_load", oracle(f"select {_SALES_META} from raw_sales where
 
 def _record_numbers(m: Models) -> DataFrame:
     """Record numbers of every row of every file, reduced to what must hold for each file."""
-    scanned = csv_files.read_crm_csv(m.spark, _written_rows(m, _broken_over_lines(m), SALES), _part_files(SALES))
-    files = scanned.groupBy(validation.FILE).agg(
-        F.min(validation.NUMBER).alias("low"),
-        F.max(validation.NUMBER).alias("high"),
-        F.count(F.lit(1)).alias("records"),
-        F.count_distinct(validation.NUMBER).alias("numbers"),
-    )
-    good = (F.col("low") == 2) & (F.col("high") == F.col("records") + 1) & (F.col("numbers") == F.col("records"))
-    return files.agg(F.bool_and(good).alias("numbered_without_gap"), F.sum("records").alias("records"))
+    return validation.numbering(csv_files.read_crm_csv(m.spark, _written_rows(m, _broken_over_lines(m), SALES), _part_files(SALES)))
 
 
 query("c12_record_numbers", oracle("select true as numbered_without_gap, count(*) as records from text_sales", "text_sales"))(_record_numbers)

@@ -146,3 +146,22 @@ def reject_verdict(audit: DataFrame, contract: Contract) -> DataFrame:
         F.lit(limit).cast("bigint").alias("max_bad_records"),
         (F.col("rejected_count") <= limit).alias("passed"),
     )
+
+
+def numbering(scanned: DataFrame) -> DataFrame:
+    """Whether the records of every file are numbered from 2 without gap or repetition, and how many there are.
+
+    The distinct numbers are counted exactly as bits of words of 64, which shuffles and holds one row for a word.
+    """
+    number = F.col(NUMBER)
+    words = scanned.groupBy(FILE, F.shiftright(number, 6).alias("word")).agg(
+        F.min(number).alias("low"),
+        F.max(number).alias("high"),
+        F.count(F.lit(1)).alias("records"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(number, F.lit(64)).cast("int"))).alias("bits"),
+    )
+    files = words.groupBy(FILE).agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("records").alias("records"), F.sum(F.bit_count("bits")).alias("numbers")
+    )
+    good = (F.col("low") == 2) & (F.col("high") == F.col("records") + 1) & (F.col("numbers") == F.col("records"))
+    return files.agg(F.bool_and(good).alias("numbered_without_gap"), F.sum("records").alias("records"))

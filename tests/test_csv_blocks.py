@@ -191,3 +191,21 @@ def test_no_task_sorts_the_lines_of_a_block(spark, tmp_path, small_blocks):
         assert sorted(tuple(value or None for value in row) for row in df.collect()) == expected(text)[1]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
+def test_numbers_are_counted_by_words_of_64(spark):
+    def checked(numbers, other=(2, 3)):
+        rows = [("a", n) for n in numbers] + [("b", n) for n in other]
+        return tuple(validation.numbering(spark.createDataFrame(rows, f"{validation.FILE} string, {validation.NUMBER} bigint")).first())
+
+    whole = list(range(2, 202))
+    assert checked(whole) == (True, 202)
+    # A number twice instead of another, a gap, another start.
+    assert checked([*whole[:-2], 100, 201]) == (False, 202)
+    assert checked([n for n in whole if n != 130]) == (False, 201)
+    assert checked([n + 1 for n in whole]) == (False, 202)
+    assert checked(whole, (3, 4)) == (False, 202)
+    # What is shuffled are words, not records.
+    df = validation.numbering(spark.createDataFrame([("a", 2)], f"{validation.FILE} string, {validation.NUMBER} bigint"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" in plan and "distinct" not in plan
