@@ -1,10 +1,12 @@
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from relata.catalog.models import Models
-from relata.operators import segments
+from relata.operators import exact_kmeans, segments
 from tests.conftest import SMALL
 
 FEATURES = ("a", "b")
@@ -88,3 +90,34 @@ def test_classic_scored_columns(spark):
     scored = segments.user_segments_classic(model, features, F.lit("2024-02-01").cast("timestamp"))
     assert scored.count() == features.count()
     assert scored.columns[6:8] == ["segment_id", "segment_name"] and len(scored.columns) == 20
+
+
+def test_distances_are_exact_beyond_64_bits():
+    points = np.array([[4 * 10**9, -4 * 10**9], [3, 4], [0, 0]])
+    centers = [(-4 * 10**9, 4 * 10**9), (0, 0)]
+    assert exact_kmeans.squares(points, centers).tolist() == [[128 * 10**18, 32 * 10**18], [32 * 10**18 - 8 * 10**9 + 25, 25], [32 * 10**18, 0]]
+    assert exact_kmeans.squares(points[1:], [(0, 0)]).dtype == np.int64
+
+
+def test_seeds_and_rounds_are_those_of_plain_loops(spark):
+    """Ties and repeated rows included."""
+    rnd = random.Random(8)
+    rows = [(rnd.randrange(50), f"u{i}", rnd.randrange(-3, 4) * 10_000, rnd.randrange(-3, 4) * 10_000) for i in range(300)]
+    df = spark.createDataFrame(rows, "h bigint, key string, z0 bigint, z1 bigint").repartition(5)
+
+    def apart(row, center):
+        return sum((value - middle) ** 2 for value, middle in zip(row[2:], center, strict=True))
+
+    chosen = [min(rows)[2:]]
+    while len(chosen) < 4:
+        race = [(row[0] // min(apart(row, seed) for seed in chosen), *row) for row in rows if row[2:] not in chosen]
+        chosen.append(min(race)[3:])
+    assert exact_kmeans.seeds(df, 4, 2) == chosen
+    centers = chosen
+    for _ in range(3):
+        near = [min(range(4), key=lambda k, row=row: apart(row, centers[k])) for row in rows]
+        own = [[row[2:] for row, at in zip(rows, near, strict=True) if at == k] for k in range(4)]
+        centers = [tuple(exact_kmeans._cut(sum(column), len(group)) for column in zip(*group)) if group else centers[k] for k, group in enumerate(own)]
+    assert exact_kmeans.lloyd(df, chosen, 3) == centers
+    # Fewer distinct rows than seeds.
+    assert exact_kmeans.seeds(df.where("z0 = 0 and z1 = 0"), 3, 2) == [(0, 0)] * 3
