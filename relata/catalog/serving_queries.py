@@ -18,6 +18,7 @@ from relata.operators.aggregates import row_counts
 from relata.operators.audience import selected_segments
 from relata.session import scratch_path
 from relata.sinks import tables
+from relata.sinks.scratch import stored
 from relata.sinks.tables import Layers
 from relata.sources import csv_files
 from relata.sources.contracts import CONTRACTS, Contract, ContractError
@@ -358,9 +359,14 @@ def _unit_centers(width: int) -> tuple[tuple[float, ...], ...]:
     return tuple(tuple(0.5 * level + 0.1 * i for i in range(width)) for level in (-1, 0, 1, 3))
 
 
+def _fitted(features: DataFrame, names: tuple[str, ...]) -> tuple[segments.SegmentModel, DataFrame]:
+    """A model and the rows it was fitted on, which are computed once for the fit and for scoring."""
+    features = stored(features, "features")
+    return segments.fit_segments(features, names), features
+
+
 def _governed_scored(m: Models) -> tuple[segments.SegmentModel, DataFrame]:
-    features = m.features()
-    return segments.fit_segments(features, _GOVERNED), features
+    return _fitted(m.features(), _GOVERNED)
 
 
 def _fit_pieces(prefix: str, source: str, features: tuple[str, ...]) -> None:
@@ -453,18 +459,13 @@ query(
     ),
     _MEANS,
 )(
-    lambda m: (lambda f: segments.user_segments_classic(segments.fit_segments(f, segments.CLASSIC_FEATURES), f, as_of()))(
-        m.user_features()
-    )
+    lambda m: segments.user_segments_classic(*_fitted(m.user_features(), segments.CLASSIC_FEATURES), as_of())
 )
 
 
-def _fit_quality(m: Models, features: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def _fit_quality(features: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """What every fit must keep: all users scored, four segments, each user at its nearest center, less cost than one center has."""
-    path = scratch_path(m.spark, "features")
-    features.write.parquet(path)
-    features = m.spark.read.parquet(path)
-    model = segments.fit_segments(features, names)
+    model, features = _fitted(features, names)
     at = F.col("nearest_centroids_distance")
     scaled = [
         (F.coalesce(F.col(name).cast("double"), F.lit(mean)) - F.lit(mean)) / F.lit(dev) if dev > 0 else F.lit(0.0)
@@ -481,9 +482,9 @@ def _fit_quality(m: Models, features: DataFrame, names: tuple[str, ...]) -> Data
 
 
 _FIT = "select count(*) as users, 4 as segments, true as nearest, true as better_than_one from {0} where user_id is not null"
-query("k1_fit_quality", oracle(_FIT.format("features"), "features"))(lambda m: _fit_quality(m, m.features(), _GOVERNED))
+query("k1_fit_quality", oracle(_FIT.format("features"), "features"))(lambda m: _fit_quality(m.features(), _GOVERNED))
 query("k2_fit_quality", oracle(_FIT.format("user_features"), "user_features"))(
-    lambda m: _fit_quality(m, m.user_features(), segments.CLASSIC_FEATURES)
+    lambda m: _fit_quality(m.user_features(), segments.CLASSIC_FEATURES)
 )
 
 

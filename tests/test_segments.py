@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relata.catalog.models import Models
+from relata.catalog.registry import all_queries
 from relata.operators import exact_kmeans, segments
 from tests.conftest import SMALL
 
@@ -121,3 +122,9 @@ def test_seeds_and_rounds_are_those_of_plain_loops(spark):
     assert exact_kmeans.lloyd(df, chosen, 3) == centers
     # Fewer distinct rows than seeds.
     assert exact_kmeans.seeds(df.where("z0 = 0 and z1 = 0"), 3, 2) == [(0, 0)] * 3
+
+
+@pytest.mark.parametrize("key", ["k2_fit_classic", "k8_scored_users", "k8_scored_shape"])
+def test_fit_and_scoring_read_one_table_of_features(spark, key):
+    plan = all_queries()[key](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
