@@ -8,7 +8,7 @@ Seeds: the row whose id has the least hash, and then, one after the other, the r
 is divided by its squared distance from the nearest seed. Lloyd's rounds follow: every row goes to its nearest center, the
 lower number at equal distances, and each center moves to the mean of its rows, until none moves. A center without rows
 stays. Each seed and each round is one pass over the scaled rows, from which the driver gets one row per center. Distances
-are computed on Arrow batches: as column expressions they make methods too long for the JVM to compile.
+are computed on Arrow batches.
 
 Equal rows are interchangeable; with fewer distinct rows than clusters the last seeds repeat the first. A value beyond
 nine million millions, or one that is no number, stops the fit; so does a table without rows.
