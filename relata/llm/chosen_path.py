@@ -196,59 +196,47 @@ def _from_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         own, pivots = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH) for i in range(2))
         apart = (own != pivots).sum(axis=1).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(apart)], names=["sketch", *batch.schema.names[2:], "apart"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(apart)], names=[*batch.schema.names[2:], "apart"])
 
 
-def _by_size(members: DataFrame, node: int) -> tuple[DataFrame, DataFrame]:
-    """The nodes of 2 to ``node`` members, and the larger ones, with the number ``held``."""
-    held = members.groupBy("node").agg(F.count("*").alias("held"))
-    held = stored(held.where("held > 1"), "nodes")
-    return held.where(F.col("held") <= node), held.where(F.col("held") > node)
-
-
-def _in_blocks(members: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
-    """The members of ``nodes`` once for each pair of blocks they are compared in."""
-    columns = ["node", "pair", "unit", "n", "sketch"]
-    whole = members.join(nodes.where(F.col("held") <= block), "node", "left_semi").withColumn("pair", F.lit(0).cast("long"))
-    large = nodes.where(F.col("held") > block)
-    if large.isEmpty():
-        return whole.select(columns)
-    parts = stored(members.join(large, "node", "left_semi"), "parted").join(large, "node")
-    return whole.select(columns).union(_dealt(parts, "node", "unit", F.ceil(F.col("held") / F.lit(block))).select(columns))
+def _held(members: DataFrame) -> DataFrame:
+    """The ``members`` of nodes that hold more than one, with the number ``held``."""
+    held = members.groupBy("node").agg(F.count("*").alias("held")).where("held > 1")
+    # A merge join at any size; members are shuffled without sketches, as most are alone in their node.
+    return stored(members.join(stored(held, "nodes").hint("merge"), "node"), "members")
 
 
 def candidates(units: DataFrame, node: int = NODE, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) between units (``unit``, ``n``, ``tokens``, ``sketch``) that connect all that meet in a node and look alike."""
-    columns = ["node", "unit", "n", "sketch"]
-    roots = units.select("unit", "n", "sketch", F.posexplode("tokens").alias("place", "token"))
-    members = roots.select(F.xxhash64("place", "token").alias("node"), "unit", "n", "sketch")
-    small, large = _by_size(members, node)
-    met, found = _in_blocks(members, small, block), None
+    columns = ["node", "unit", "held"]
+    sketches = units.select("unit", "n", "sketch").hint("merge")
+    roots = units.select("unit", F.posexplode("tokens").alias("place", "token"))
+    members = _held(roots.select(F.xxhash64("place", "token").alias("node"), "unit"))
+    met, large, found = members.where(F.col("held") <= node), members.where(F.col("held") > node), None
+    values = [F.substring("sketch", F.pmod(F.xxhash64("node", F.lit(i)), F.lit(SKETCH)).cast("int") + 1, F.lit(1)) for i in range(BRANCHES)]
+    children = F.array(*[F.xxhash64("node", F.lit(i), value) for i, value in enumerate(values)]).alias("children")
     for _ in range(depth):
         if large.isEmpty():
             break
-        members = stored(members.join(large, "node", "left_semi").select(columns), "members")
-        pivots = members.groupBy("node").agg(F.min(F.struct(F.xxhash64("node", "unit").alias("turn"), "unit", "sketch")).alias("pivot"))
-        pivots = stored(pivots.select("node", F.col("pivot.unit").alias("pivot"), F.col("pivot.sketch").alias("center")), "pivots")
-        near = members.join(pivots, "node").select("sketch", "center", "node", "unit", "n", "pivot")
-        near = near.mapInArrow(_from_pivots, "sketch binary, node long, unit long, n long, pivot long, apart long")
+        pivots = large.groupBy("node").agg(F.min(F.struct(F.xxhash64("node", "unit").alias("turn"), "unit")).alias("pivot"))
+        centers = units.select(F.col("unit").alias("pivot"), F.col("sketch").alias("center"))
+        pivots = stored(pivots.select("node", F.col("pivot.unit").alias("pivot")).join(centers, "pivot"), "pivots")
+        near = large.join(sketches, "unit").join(pivots, "node").select("sketch", "center", "node", "unit", "pivot", children)
+        near = near.mapInArrow(_from_pivots, "node long, unit long, pivot long, children array<long>, apart long")
         near = stored(near, "from-pivots")
         edges = near.where(F.col("apart") <= CLOSE + SKETCH - AGREE).select(F.col("unit").alias("a"), F.col("pivot").alias("b"))
         found = edges if found is None else found.union(edges)
-        members = near.where(F.col("apart") > CLOSE).select(columns)
-        small, large = _by_size(members, node)
-        met = met.union(_in_blocks(members, small, block))
-        branch = F.explode(F.sequence(F.lit(0), F.lit(BRANCHES - 1))).alias("branch")
-        members = members.join(large, "node", "left_semi").select(*columns, branch)
-        place = F.pmod(F.xxhash64("node", "branch"), F.lit(SKETCH)).cast("int")
-        value = F.substring("sketch", place + 1, F.lit(1))
-        members = stored(members.select(F.xxhash64("node", "branch", value).alias("node"), "unit", "n", "sketch"), "branches")
-        small, large = _by_size(members, node)
-        met = met.union(_in_blocks(members, small, block))
+        members = _held(near.where(F.col("apart") > CLOSE).select("node", "unit", "children"))
+        met = met.union(members.where(F.col("held") <= node).select(columns))
+        members = members.where(F.col("held") > node).select(F.explode("children").alias("node"), "unit")
+        members = _held(members)
+        met, large = met.union(members.where(F.col("held") <= node)), members.where(F.col("held") > node)
     else:
-        met = met.union(_in_blocks(members, large, block))
+        met = met.union(large)
     # All nodes of all levels are compared by one job.
-    met = met.repartition("node", "pair").sortWithinPartitions("node", "pair").mapInArrow(_candidates, "a long, b long")
+    met = _dealt(met.join(sketches, "unit"), "node", "unit", F.ceil(F.col("held") / F.lit(block)))
+    met = met.select("node", "pair", "unit", "n", "sketch").repartition("node", "pair").sortWithinPartitions("node", "pair")
+    met = met.mapInArrow(_candidates, "a long, b long")
     return met if found is None else found.union(met)
 
 

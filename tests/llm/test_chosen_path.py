@@ -6,6 +6,7 @@ import pyarrow as pa
 
 from relata.llm import chosen_path
 from relata.llm.catalog import ORACLES, op12_chosen_path
+from relata.llm.frames import stored
 from tests.conftest import SMALL
 
 
@@ -107,6 +108,25 @@ def test_large_nodes_branch_and_are_dealt_into_blocks(spark):
         assert len(edges) < 8 * 2**depth * 3 * last
 
 
+def test_sketches_move_once_a_unit_at_any_size(spark):
+    rnd = random.Random(11)
+    described = stored(units(spark, near_texts(rnd, 10, 8, 2)), "described")
+    name, plans, joined = "spark.sql.autoBroadcastJoinThreshold", [], []
+    usual = spark.conf.get(name)
+    for most in ("-1", "1g"):
+        spark.conf.set(name, most)
+        try:
+            found = chosen_path.candidates(described)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            joined.append({unit for edge in found.collect() for unit in edge})
+        finally:
+            spark.conf.set(name, usual)
+        plans.append(sorted(re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)))
+    # Members (without sketches) and sketches meet by unit, then what meets in a node goes there: nothing else is shuffled.
+    assert plans == [["node, pair", "unit", "unit"]] * 2
+    assert joined[0] and joined[0] == joined[1]
+
+
 def test_rows(spark):
     rows = [
         (4, "One two three four five six"), (2, "one TWO three\nfour five  six"), (2, "one two three four five six"), (None, "other words"),
